@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no stream processing (no sources, watermarks, windows or
+state over unbounded input), so nothing is built here; every metric is a
+batch DataFrame function.
+"""
