@@ -11,7 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources import fixtures as fx
+from ..operators import compare as cmp
+from ..operators import cooccur as co
+from ..operators import counts as cnt
 from ..operators import popularity as pop
+from ..operators import quality as qa
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -74,3 +78,121 @@ def _q_mention_stats(t: Lists) -> DataFrame:
 @query("long_tail_80")
 def _q_long_tail(t: Lists) -> DataFrame:
     return pop.long_tail(t.user_top_artists)
+
+
+# --- counts (M7–M12) --------------------------------------------------------
+
+@query("user_artist_counts")
+def _q_artist_counts(t: Lists) -> DataFrame:
+    return cnt.artists_per_user(t.user_top_artists)[0]
+
+
+@query("user_artist_stats")
+def _q_artist_stats(t: Lists) -> DataFrame:
+    return cnt.artists_per_user(t.user_top_artists)[1]
+
+
+@query("user_track_counts")
+def _q_track_counts(t: Lists) -> DataFrame:
+    return cnt.tracks_per_user(t.user_top_tracks)[0]
+
+
+@query("user_track_stats")
+def _q_track_stats(t: Lists) -> DataFrame:
+    return cnt.tracks_per_user(t.user_top_tracks)[1]
+
+
+@query("user_album_counts")
+def _q_album_counts(t: Lists) -> DataFrame:
+    return cnt.albums_per_user(t.user_top_albums)[0]
+
+
+@query("user_album_stats")
+def _q_album_stats(t: Lists) -> DataFrame:
+    return cnt.albums_per_user(t.user_top_albums)[1]
+
+
+@query("unique_items")
+def _q_unique_items(t: Lists) -> DataFrame:
+    return cnt.unique_items(t.user_top_artists, t.user_top_tracks, t.user_top_albums)
+
+
+@query("identical_top_lists")
+def _q_identical(t: Lists) -> DataFrame:
+    return cnt.identical_top_lists(t.user_top_types)
+
+
+@query("single_artist_top5")
+def _q_single_artist(t: Lists) -> DataFrame:
+    return cnt.single_artist_top_k(t.user_tracks_by_region)
+
+
+# --- co-occurrence and positions (M13–M18) ----------------------------------
+
+@query("artist_pairs")
+def _q_pairs(t: Lists) -> DataFrame:
+    return co.artist_pairs(t.user_top_artists)
+
+
+@query("artist_triplets")
+def _q_triplets(t: Lists) -> DataFrame:
+    return co.artist_triplets(t.user_top_artists)
+
+
+@query("artist_track_overlap")
+def _q_overlap(t: Lists) -> DataFrame:
+    return co.artist_track_overlap(t.user_top_artists, t.user_top_tracks)
+
+
+@query("artist_average_position")
+def _q_avg_position(t: Lists) -> DataFrame:
+    return co.average_position(t.user_top_artists)
+
+
+@query("top1_in_global_top5")
+def _q_top1_in_top5(t: Lists) -> DataFrame:
+    return co.top1_in_global_top(t.user_top_artists)
+
+
+@query("position_stability")
+def _q_stability(t: Lists) -> DataFrame:
+    return co.position_stability(t.plays_by_region, ties=fx.PLAYS_BY_REGION_TIES)
+
+
+# --- comparisons (M19–M21) --------------------------------------------------
+
+@query("active_user_artists")
+def _q_active(t: Lists) -> DataFrame:
+    return cmp.active_user_artists(t.user_top_artists, t.user_top_tracks)
+
+
+@query("cross_popularity")
+def _q_cross(t: Lists) -> DataFrame:
+    return cmp.cross_popularity(t.user_top_artists, t.user_top_tracks)
+
+
+@query("artist_diversity")
+def _q_diversity(t: Lists) -> DataFrame:
+    return cmp.artist_diversity(t.user_top_artists, t.user_top_tracks)
+
+
+# --- quality (M22–M24) ------------------------------------------------------
+
+@query("data_quality")
+def _q_quality(t: Lists) -> DataFrame:
+    return qa.missing_data_report(t.user_artists_dirty)
+
+
+@query("data_quality_clean")
+def _q_quality_clean(t: Lists) -> DataFrame:
+    return qa.missing_data_report(t.user_top_artists)
+
+
+@query("outlier_users")
+def _q_outliers(t: Lists) -> DataFrame:
+    return qa.outlier_users(t.user_top_artists)
+
+
+@query("low_coverage_artists")
+def _q_low_coverage(t: Lists) -> DataFrame:
+    return qa.low_coverage_items(t.user_fine_items)

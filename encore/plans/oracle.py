@@ -123,5 +123,198 @@ SELECT CAST(count(*) AS BIGINT) AS total_artists,
 FROM ordered""")))
 
 
+# --- counts (M7–M12) --------------------------------------------------------
+
+for _table, _item, _count in (("user_top_artists", "artist_name", "artist_count"),
+                              ("user_top_tracks", "track_name", "track_count"),
+                              ("user_top_albums", "album_name", "album_count")):
+    _counts = (("counts", f"""
+SELECT user_id, count(DISTINCT {_item}) AS {_count} FROM {_table} GROUP BY user_id"""),)
+    _kind = _count.split("_")[0]
+    ORACLE[f"user_{_kind}_counts"] = with_fixtures("SELECT * FROM counts", _table, ctes=_counts)
+    ORACLE[f"user_{_kind}_stats"] = with_fixtures(f"""
+SELECT 'mean' AS metric, CAST(avg({_count}) AS DOUBLE) AS value FROM counts
+UNION ALL
+SELECT 'median', CAST(quantile_disc({_count}, 0.5) AS DOUBLE) FROM counts""", _table, ctes=_counts)
+
+ORACLE["unique_items"] = with_fixtures("""
+SELECT (SELECT count(*) FROM (SELECT DISTINCT artist_name FROM user_top_artists) a) AS unique_artists,
+       (SELECT count(*) FROM (SELECT DISTINCT track_name FROM user_top_tracks) t) AS unique_tracks,
+       (SELECT count(*) FROM (SELECT DISTINCT album_name FROM user_top_albums) b) AS unique_albums""",
+                                   "user_top_artists", "user_top_tracks", "user_top_albums")
+
+ORACLE["identical_top_lists"] = with_fixtures("""
+SELECT top1, top2, top3, user_count FROM (
+  SELECT sig, top1, top2, top3, count(user_id) AS user_count
+  FROM per_user GROUP BY sig, top1, top2, top3) g
+WHERE user_count >= 2
+ORDER BY user_count DESC, top1 ASC NULLS FIRST, top2 ASC NULLS FIRST, top3 ASC NULLS FIRST, sig
+LIMIT 3""", "user_top_types", ctes=(("ranked", """
+SELECT user_id, track_name,
+       row_number() OVER (PARTITION BY user_id
+                          ORDER BY playcount DESC NULLS LAST, track_name ASC NULLS FIRST) AS rn
+FROM user_top_types"""), ("per_user", """
+SELECT user_id,
+       coalesce(list(track_name ORDER BY rn) FILTER (WHERE track_name IS NOT NULL), []) AS sig,
+       max(CASE WHEN rn = 1 THEN track_name END) AS top1,
+       max(CASE WHEN rn = 2 THEN track_name END) AS top2,
+       max(CASE WHEN rn = 3 THEN track_name END) AS top3
+FROM ranked WHERE rn <= 10 GROUP BY user_id""")))
+
+ORACLE["single_artist_top5"] = with_fixtures("""
+SELECT user_id, main_artist, track_count FROM (
+  SELECT user_id, count(DISTINCT artist_name) AS distinct_artists,
+         count(*) AS track_count, max(artist_name) AS main_artist
+  FROM ranked WHERE rn <= 5 GROUP BY user_id) g
+WHERE track_count = 5 AND distinct_artists = 1""", "user_tracks_by_region", ctes=(("ranked", """
+SELECT user_id, track_name, artist_name,
+       row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC NULLS LAST,
+                          track_name ASC NULLS FIRST, artist_name ASC NULLS FIRST) AS rn
+FROM user_tracks_by_region"""),))
+
+# --- co-occurrence and positions (M13–M18) ----------------------------------
+
+_USER_ITEMS = ("ui", """
+SELECT DISTINCT user_id, artist_name FROM user_top_artists WHERE artist_name IS NOT NULL""")
+
+ORACLE["artist_pairs"] = with_fixtures("""
+SELECT a.artist_name AS artist1, b.artist_name AS artist2, count(*) AS pair_count
+FROM ui a JOIN ui b
+  ON a.user_id = b.user_id AND a.artist_name < b.artist_name
+GROUP BY 1, 2
+ORDER BY pair_count DESC, artist1, artist2
+LIMIT 50""", "user_top_artists", ctes=(_USER_ITEMS,))
+
+ORACLE["artist_triplets"] = with_fixtures("""
+SELECT a.artist_name AS artist1, b.artist_name AS artist2, c.artist_name AS artist3,
+       count(*) AS triplet_count
+FROM ui10 a
+JOIN ui10 b ON a.user_id = b.user_id AND a.artist_name < b.artist_name
+JOIN ui10 c ON b.user_id = c.user_id AND b.artist_name < c.artist_name
+GROUP BY 1, 2, 3
+ORDER BY triplet_count DESC, artist1, artist2, artist3
+LIMIT 50""", "user_top_artists", ctes=(("ui10", """
+SELECT DISTINCT user_id, artist_name FROM user_top_artists
+WHERE artist_name IS NOT NULL AND rank <= 10"""),))
+
+ORACLE["artist_track_overlap"] = with_fixtures("""
+SELECT CAST(coalesce(sum(CASE WHEN a.artist_name = t.artist_name THEN 1 ELSE 0 END), 0) AS BIGINT)
+         AS overlap_count,
+       count(*) AS total_users,
+       CASE WHEN count(*) = 0 THEN 0.0E0
+            ELSE CAST(coalesce(sum(CASE WHEN a.artist_name = t.artist_name THEN 1 ELSE 0 END), 0)
+                      AS DOUBLE) / count(*) END AS overlap_ratio
+FROM firsts a JOIN first_tracks t ON a.user_id = t.user_id""", "user_top_artists", "user_top_tracks",
+                                           ctes=(("firsts", _first_artist()), ("first_tracks", """
+SELECT user_id, artist_name FROM (
+  SELECT user_id, artist_name,
+         row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC NULLS LAST,
+                            track_name ASC NULLS FIRST, artist_name ASC NULLS FIRST) AS rn
+  FROM user_top_tracks) r
+WHERE rn = 1""")))
+
+ORACLE["artist_average_position"] = with_fixtures("""
+SELECT artist_name, CAST(avg(rn) AS DOUBLE) AS avg_position,
+       count(DISTINCT user_id) AS user_count
+FROM (SELECT user_id, artist_name,
+             row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC NULLS LAST,
+                                artist_name ASC NULLS FIRST) AS rn
+      FROM user_top_artists) r
+GROUP BY artist_name
+ORDER BY avg_position, artist_name""", "user_top_artists")
+
+ORACLE["top1_in_global_top5"] = with_fixtures("""
+SELECT matched_users, total_users,
+       CASE WHEN total_users = 0 THEN 0.0E0
+            ELSE CAST(matched_users AS DOUBLE) / total_users END AS ratio
+FROM (SELECT (SELECT count(*) FROM (SELECT DISTINCT user_id FROM firsts
+                                    WHERE artist_name IN (SELECT artist_name FROM top5)) m)
+               AS matched_users,
+             (SELECT count(*) FROM (SELECT DISTINCT user_id FROM firsts) u) AS total_users) x""",
+                                          "user_top_artists", ctes=(("firsts", _first_artist()), ("top5", """
+SELECT artist_name FROM user_top_artists GROUP BY artist_name
+ORDER BY count(DISTINCT user_id) DESC, artist_name ASC NULLS FIRST LIMIT 5""")))
+
+ORACLE["position_stability"] = with_fixtures("""
+SELECT CAST(coalesce(sum(CASE WHEN p1 IS NOT NULL AND p1 = p2 THEN 1 ELSE 0 END), 0) AS BIGINT)
+         AS stable_users,
+       count(*) AS total_users,
+       CASE WHEN count(*) = 0 THEN 0.0E0
+            ELSE CAST(coalesce(sum(CASE WHEN p1 IS NOT NULL AND p1 = p2 THEN 1 ELSE 0 END), 0)
+                      AS DOUBLE) / count(*) END AS ratio
+FROM (SELECT user_id, max(CASE WHEN rn = 1 THEN artist_name END) AS p1,
+             max(CASE WHEN rn = 2 THEN artist_name END) AS p2
+      FROM (SELECT user_id, artist_name,
+                   row_number() OVER (PARTITION BY user_id ORDER BY playcount DESC NULLS LAST,
+                                      track_name ASC NULLS FIRST, artist_name ASC NULLS FIRST,
+                                      l_orderkey ASC NULLS FIRST, l_linenumber ASC NULLS FIRST) AS rn
+            FROM plays_by_region) r
+      WHERE rn <= 2
+      GROUP BY user_id) p""", "plays_by_region")
+
+# --- comparisons (M19–M21) --------------------------------------------------
+
+ORACLE["active_user_artists"] = with_fixtures("""
+SELECT artist_name, count(DISTINCT user_id) AS active_users
+FROM user_top_artists
+WHERE user_id IN (SELECT user_id FROM user_top_tracks GROUP BY user_id HAVING count(*) > 40)
+GROUP BY artist_name
+ORDER BY active_users DESC, artist_name ASC NULLS FIRST""", "user_top_artists", "user_top_tracks")
+
+ORACLE["cross_popularity"] = with_fixtures("""
+SELECT coalesce(a.artist_name, t.artist_name) AS artist_name,
+       coalesce(a.n, 0) AS mentions_in_artists,
+       coalesce(t.n, 0) AS mentions_in_tracks,
+       coalesce(t.n, 0) - coalesce(a.n, 0) AS difference
+FROM (SELECT artist_name, count(*) AS n FROM user_top_artists GROUP BY artist_name) a
+FULL OUTER JOIN (SELECT artist_name, count(*) AS n FROM user_top_tracks GROUP BY artist_name) t
+  ON a.artist_name = t.artist_name
+ORDER BY difference DESC, artist_name ASC NULLS FIRST""", "user_top_artists", "user_top_tracks")
+
+ORACLE["artist_diversity"] = with_fixtures("""
+SELECT u.artist_name, u.distinct_users, t.distinct_tracks
+FROM (SELECT artist_name, count(DISTINCT user_id) AS distinct_users
+      FROM user_top_artists GROUP BY artist_name) u
+JOIN (SELECT artist_name, count(DISTINCT track_name) AS distinct_tracks
+      FROM user_top_tracks GROUP BY artist_name) t
+  ON u.artist_name = t.artist_name
+ORDER BY distinct_users DESC, distinct_tracks DESC, artist_name ASC NULLS FIRST""",
+                                       "user_top_artists", "user_top_tracks")
+
+# --- quality (M22–M24) ------------------------------------------------------
+
+
+def _missing_data(table: str) -> str:
+    return with_fixtures(f"""
+SELECT 'null_or_empty_field' AS problem,
+       (SELECT count(*) FROM (SELECT DISTINCT user_id FROM {table}
+                              WHERE artist_name IS NULL OR artist_name = '' OR user_id IS NULL) d)
+         AS affected_users
+UNION ALL
+SELECT 'less_than_20_items',
+       (SELECT count(*) FROM (SELECT user_id FROM {table} GROUP BY user_id HAVING count(*) < 20) s)""",
+                         table)
+
+
+ORACLE["data_quality"] = _missing_data("user_artists_dirty")
+ORACLE["data_quality_clean"] = _missing_data("user_top_artists")
+
+ORACLE["outlier_users"] = with_fixtures("""
+SELECT user_id, items_count,
+       CASE WHEN items_count >= (SELECT hi FROM q) THEN 99.0E0 ELSE 1.0E0 END AS percentile
+FROM counts
+WHERE items_count >= (SELECT hi FROM q) OR items_count <= (SELECT lo FROM q)""", "user_top_artists",
+                                    ctes=(("counts", """
+SELECT user_id, count(*) AS items_count FROM user_top_artists GROUP BY user_id"""), ("q", """
+SELECT CAST(quantile_disc(items_count, 0.01) AS DOUBLE) AS lo,
+       CAST(quantile_disc(items_count, 0.99) AS DOUBLE) AS hi
+FROM counts""")))
+
+ORACLE["low_coverage_artists"] = with_fixtures("""
+SELECT artist_name, count(*) AS mentions FROM user_fine_items
+GROUP BY artist_name HAVING count(*) < 5
+ORDER BY mentions, artist_name ASC NULLS FIRST""", "user_fine_items")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
