@@ -10,7 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..operators import serve as sv
+from ..session import shared_dir
 from ..sources import fixtures as fx
+from ..sources import ingest
+from ..sources.sinks import write_csv
 from ..operators import compare as cmp
 from ..operators import cooccur as co
 from ..operators import counts as cnt
@@ -196,3 +202,116 @@ def _q_outliers(t: Lists) -> DataFrame:
 @query("low_coverage_artists")
 def _q_low_coverage(t: Lists) -> DataFrame:
     return qa.low_coverage_items(t.user_fine_items)
+
+
+# --- read side (V1–V10) -----------------------------------------------------
+
+@query("serve_top1_artist")
+def _v_top1(t: Lists) -> DataFrame:
+    return sv.top1_artist_view(pop.same_top1_artist(t.user_top_artists))
+
+
+@query("serve_active_page")
+def _v_active_page(t: Lists) -> DataFrame:
+    res = cmp.active_user_artists(t.user_top_artists, t.user_top_tracks)
+    return sv.ranked_page(res, [F.col("active_users").desc(),
+                                F.col("artist_name").asc_nulls_first()], 20)
+
+
+@query("serve_cross_page")
+def _v_cross_page(t: Lists) -> DataFrame:
+    res = cmp.cross_popularity(t.user_top_artists, t.user_top_tracks)
+    return sv.ranked_page(res, [F.col("difference").desc(),
+                                F.col("artist_name").asc_nulls_first()], 20)
+
+
+@query("serve_position_page")
+def _v_position_page(t: Lists) -> DataFrame:
+    res = co.average_position(t.user_top_artists)
+    return sv.ranked_page(res, [F.col("avg_position").asc(),
+                                F.col("artist_name").asc_nulls_first()], 200)
+
+
+@query("serve_diversity_page")
+def _v_diversity(t: Lists) -> DataFrame:
+    return sv.diversity_page(cmp.artist_diversity(t.user_top_artists, t.user_top_tracks))
+
+
+@query("serve_items_per_user")
+def _v_items_per_user(t: Lists) -> DataFrame:
+    return sv.items_per_user_summary({
+        "artists": cnt.artists_per_user(t.user_top_artists),
+        "tracks": cnt.tracks_per_user(t.user_top_tracks),
+        "albums": cnt.albums_per_user(t.user_top_albums),
+    })
+
+
+@query("serve_concentrated_users")
+def _v_conc_users(t: Lists) -> DataFrame:
+    return sv.concentrated_users(cnt.single_artist_top_k(t.user_tracks_by_region))
+
+
+@query("serve_concentrated_artists")
+def _v_conc_artists(t: Lists) -> DataFrame:
+    return sv.concentrated_artists(cnt.single_artist_top_k(t.user_tracks_by_region))
+
+
+@query("serve_quality_total")
+def _v_quality_total(t: Lists) -> DataFrame:
+    return sv.quality_total(qa.missing_data_report(t.user_artists_dirty))
+
+
+@query("serve_outlier_sample")
+def _v_outliers(t: Lists) -> DataFrame:
+    return sv.outlier_sample(qa.outlier_users(t.user_top_artists))
+
+
+@query("serve_low_coverage_sample")
+def _v_low_coverage(t: Lists) -> DataFrame:
+    return sv.low_coverage_sample(qa.low_coverage_items(t.user_fine_items))
+
+
+@query("serve_top3_labels")
+def _v_labels(t: Lists) -> DataFrame:
+    return sv.combo_labels(cnt.identical_top_lists(t.user_top_types))
+
+
+@query("serve_top1_share")
+def _v_top1_share(t: Lists) -> DataFrame:
+    return sv.share_split(pop.same_top1_artist(t.user_top_artists), F.col("artist_name"),
+                          "percentage")
+
+
+@query("serve_long_tail_share")
+def _v_tail_share(t: Lists) -> DataFrame:
+    return sv.share_split(pop.long_tail(t.user_top_artists), F.lit("artists_in_tail"),
+                          "tail_percentage")
+
+
+# --- ingest (S1–S7) ---------------------------------------------------------
+
+def _export_csvs(t: Lists, raw_dir: str) -> None:
+    """Write the driver-derived lists as the CSV exports the loader expects."""
+    write_csv(t.user_top_artists, f"{raw_dir}/user_top_artists.csv")
+    write_csv(t.user_top_tracks, f"{raw_dir}/user_top_tracks.csv")
+    write_csv(t.user_top_albums, f"{raw_dir}/user_top_albums.csv")
+    write_csv(t.tables["customer"].select(F.col("c_custkey").alias("user_id"), "c_name",
+                                          "c_mktsegment"), f"{raw_dir}/users.csv")
+
+
+def _ingest(t: Lists) -> tuple[DataFrame, str]:
+    base = shared_dir(t.tables.spark, "ingest")
+    _export_csvs(t, f"{base}/raw")
+    report = ingest.run_loader(t.tables.spark, f"{base}/raw", f"{base}/parquet", f"{base}/backup")
+    return report, f"{base}/parquet"
+
+
+@query("ingest_report")
+def _i_report(t: Lists) -> DataFrame:
+    return _ingest(t)[0]
+
+
+@query("ingest_clean")
+def _i_clean(t: Lists) -> DataFrame:
+    _, parquet = _ingest(t)
+    return t.tables.spark.read.parquet(f"{parquet}/user_top_artists")

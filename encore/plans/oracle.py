@@ -316,5 +316,84 @@ GROUP BY artist_name HAVING count(*) < 5
 ORDER BY mentions, artist_name ASC NULLS FIRST""", "user_fine_items")
 
 
+# --- read side (V1–V10) -----------------------------------------------------
+
+
+def _of(key: str) -> str:
+    return f"({ORACLE[key]}\n) m"
+
+
+ORACLE["serve_top1_artist"] = f"""
+SELECT artist_name AS top1_artist, users_count, percentage FROM {_of("same_top1_artist")}"""
+
+ORACLE["serve_active_page"] = f"""
+SELECT * FROM {_of("active_user_artists")}
+ORDER BY active_users DESC, artist_name ASC NULLS FIRST LIMIT 20"""
+
+ORACLE["serve_cross_page"] = f"""
+SELECT * FROM {_of("cross_popularity")}
+ORDER BY difference DESC, artist_name ASC NULLS FIRST LIMIT 20"""
+
+ORACLE["serve_position_page"] = f"""
+SELECT * FROM {_of("artist_average_position")}
+ORDER BY avg_position, artist_name ASC NULLS FIRST LIMIT 200"""
+
+ORACLE["serve_diversity_page"] = f"""
+SELECT * FROM {_of("artist_diversity")}
+ORDER BY distinct_users DESC, distinct_tracks DESC, artist_name ASC NULLS FIRST LIMIT 20"""
+
+ORACLE["serve_items_per_user"] = "\nUNION ALL\n".join(f"""
+SELECT '{label}' AS item_type,
+       (SELECT count(*) FROM {_of(f"user_{kind}_counts")}) AS total_users,
+       (SELECT value FROM {_of(f"user_{kind}_stats")} WHERE metric = 'mean') AS mean,
+       (SELECT value FROM {_of(f"user_{kind}_stats")} WHERE metric = 'median') AS median"""
+    for label, kind in (("artists", "artist"), ("tracks", "track"), ("albums", "album")))
+
+ORACLE["serve_concentrated_users"] = f"""
+SELECT * FROM {_of("single_artist_top5")} ORDER BY main_artist, user_id"""
+
+ORACLE["serve_concentrated_artists"] = f"""
+SELECT main_artist, count(*) AS user_count FROM {_of("single_artist_top5")}
+GROUP BY main_artist ORDER BY user_count DESC, main_artist ASC NULLS FIRST LIMIT 20"""
+
+ORACLE["serve_quality_total"] = f"""
+SELECT CAST(coalesce(sum(affected_users), 0) AS BIGINT) AS total FROM {_of("data_quality")}"""
+
+ORACLE["serve_outlier_sample"] = f"""
+SELECT CASE WHEN length(CAST(user_id AS VARCHAR)) > 6
+            THEN concat(substring(CAST(user_id AS VARCHAR), 1, 6), '…')
+            ELSE CAST(user_id AS VARCHAR) END AS user_id,
+       items_count, percentile,
+       (SELECT count(*) FROM {_of("outlier_users")}) AS total_population
+FROM {_of("outlier_users")}
+ORDER BY m.user_id ASC NULLS FIRST LIMIT 10"""
+
+ORACLE["serve_low_coverage_sample"] = f"""
+SELECT artist_name, mentions,
+       (SELECT count(*) FROM {_of("low_coverage_artists")}) AS total_population
+FROM {_of("low_coverage_artists")}
+ORDER BY mentions, artist_name ASC NULLS FIRST LIMIT 10"""
+
+ORACLE["serve_top3_labels"] = f"""
+SELECT concat(coalesce(top1, 'null'), ' / ', coalesce(top2, 'null'), ' / ',
+              coalesce(top3, 'null')) AS combo, user_count
+FROM {_of("identical_top_lists")}"""
+
+ORACLE["serve_top1_share"] = f"""
+SELECT artist_name AS label, CAST(percentage AS DOUBLE) AS share, 100.0E0 - percentage AS remainder
+FROM {_of("same_top1_artist")}"""
+
+ORACLE["serve_long_tail_share"] = f"""
+SELECT 'artists_in_tail' AS label, CAST(tail_percentage AS DOUBLE) AS share,
+       100.0E0 - tail_percentage AS remainder
+FROM {_of("long_tail_80")}"""
+
+# --- ingest (S1–S7) ---------------------------------------------------------
+
+ORACLE["ingest_clean"] = with_fixtures("""
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, artist_name, playcount, rank
+FROM user_top_artists WHERE user_id IS NOT NULL""", "user_top_artists")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
