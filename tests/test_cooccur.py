@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import itertools
+import random
+from collections import Counter
+
+import pytest
+
+from encore.operators import cooccur as co
+from tests.conftest import rows
+
+
+def brute_force(lists, size, top):
+    per_user: dict = {}
+    for user, artist, *_ in lists:
+        if artist is not None:
+            per_user.setdefault(user, set()).add(artist)
+    counts = Counter(c for items in per_user.values()
+                     for c in itertools.combinations(sorted(items), size))
+    ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:top]
+    return [(*combo, n) for combo, n in ranked]
+
+
+def test_pairs_dedup_drop_null_keep_empty(artists):
+    df = artists([("u1", "B", 1, 1), ("u1", "A", 1, 2), ("u1", "A", 1, 3), ("u1", None, 1, 4),
+                  ("u2", "A", 1, 1), ("u2", "B", 1, 2), ("u2", "", 1, 3)])
+    assert rows(co.artist_pairs(df)) == [("A", "B", 2), ("", "A", 1), ("", "B", 1)]
+
+
+def test_pairs_delimiters_and_accents(artists):
+    names = ["A|||B", "a,b", 'He said "hi"', "Zoë", "Zoe"]
+    df = artists([(u, n, 1, i + 1) for u in ("u1", "u2") for i, n in enumerate(names)])
+    out = rows(co.artist_pairs(df, top=3))
+    assert out == [(a, b, 2) for a, b in itertools.combinations(sorted(names), 2)][:3]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_pairs_and_triplets_match_brute_force(artists, seed):
+    rnd = random.Random(seed)
+    pool = [f"artist{i:02d}" for i in range(30)]
+    weights = [1.0 / (i + 1) for i in range(30)]          # skewed popularity
+    data = []
+    for u in range(80):
+        k = rnd.randint(1, 12)
+        chosen = set(rnd.choices(pool, weights, k=k))
+        data += [(f"user{u}", a, 1, r + 1) for r, a in enumerate(sorted(chosen))]
+    df = artists(data)
+    assert rows(co.artist_pairs(df, top=20)) == brute_force(data, 2, 20)
+    top10 = [r for r in data if r[3] <= 10]
+    assert rows(co.artist_triplets(df, top=15)) == brute_force(top10, 3, 15)
+
+
+def test_pairs_fewer_than_top(artists):
+    df = artists([("u1", "A", 1, 1), ("u1", "B", 1, 2)])
+    assert rows(co.artist_pairs(df)) == [("A", "B", 1)]
+
+
+def test_triplets_only_rank_le_10(artists):
+    df = artists([("u1", "A", 9, 1), ("u1", "B", 8, 2), ("u1", "C", 7, 11),
+                  ("u2", "A", 9, 1), ("u2", "B", 8, 2), ("u2", "C", 7, 3)])
+    assert rows(co.artist_triplets(df)) == [("A", "B", "C", 1)]
+
+
+def test_overlap(artists, tracks):
+    a = artists([("u1", "X", 10, 1), ("u2", "Y", 10, 1), ("u3", "Z", 1, 1), (None, "X", 1, 1)])
+    t = tracks([("u1", "s1", "X", 5), ("u1", "s2", "Y", 4), ("u2", "s3", "X", 9),
+                ("u3", "s4", None, 1), (None, "s5", "X", 1)])
+    assert rows(co.artist_track_overlap(a, t)) == [(1, 3, 1 / 3)]
+
+
+def test_overlap_empty(artists, tracks):
+    assert rows(co.artist_track_overlap(artists([]), tracks([]))) == [(0, 0, 0.0)]
+
+
+def test_average_position_with_repeated_rows(artists):
+    df = artists([("u1", "A", 10, 1), ("u1", "A", 10, 2), ("u1", "B", 5, 3),
+                  ("u2", "B", 7, 1), ("u2", "A", 3, 2)])
+    out = {r[0]: r[1:] for r in rows(co.average_position(df))}
+    # u1: A at 1 and 2, B at 3; u2: B at 1, A at 2
+    assert out["A"] == (pytest.approx(5 / 3), 2)
+    assert out["B"] == (pytest.approx(2.0), 2)
+
+
+def test_top1_in_global_top(artists):
+    df = artists([("u1", "A", 9, 1), ("u1", "B", 1, 2), ("u2", "B", 9, 1), ("u2", "A", 1, 2),
+                  ("u3", "C", 9, 1), ("u3", "A", 1, 2)])
+    # users per artist: A 3, B 2, C 1 → top-2 = {A, B}; #1 artists: A, B, C
+    assert rows(co.top1_in_global_top(df, k=2)) == [(2, 3, 2 / 3)]
+
+
+def test_position_stability_repeat(artists):
+    df = artists([("u1", "A", 9, 1), ("u1", "A", 8, 2), ("u1", "B", 7, 3),
+                  ("u2", "A", 9, 1), ("u2", "B", 8, 2),
+                  ("u3", None, 9, 1), ("u3", None, 8, 2)])
+    assert rows(co.position_stability(df)) == [(1, 3, 1 / 3)]
+
+
+def test_position_stability_empty(artists):
+    assert rows(co.position_stability(artists([]))) == [(0, 0, 0.0)]
