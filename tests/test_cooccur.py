@@ -50,6 +50,19 @@ def test_pairs_and_triplets_match_brute_force(artists, seed):
     assert rows(co.artist_triplets(df, top=15)) == brute_force(top10, 3, 15)
 
 
+@pytest.mark.parametrize("size,max_set", [(2, 3), (3, 4)])
+def test_heavy_users_take_self_join_path(artists, size, max_set):
+    rnd = random.Random(7)
+    pool = [f"a{i}" for i in range(12)]
+    data = []
+    for u in range(25):
+        chosen = sorted(set(rnd.choices(pool, k=rnd.randint(1, 9))))
+        data += [(f"user{u}", a, 1, r + 1) for r, a in enumerate(chosen)]
+    out = co.top_combinations(artists(data), size, 30, max_set=max_set,
+                              count_col="n")
+    assert rows(out) == brute_force(data, size, 30)
+
+
 def test_pairs_fewer_than_top(artists):
     df = artists([("u1", "A", 1, 1), ("u1", "B", 1, 2)])
     assert rows(co.artist_pairs(df)) == [("A", "B", 1)]
