@@ -110,3 +110,28 @@ def test_position_stability_repeat(artists):
 
 def test_position_stability_empty(artists):
     assert rows(co.position_stability(artists([]))) == [(0, 0, 0.0)]
+
+
+def test_average_position_matches_brute_force_with_nulls(artists):
+    rnd = random.Random(11)
+    data = []
+    for u in [f"u{i}" for i in range(12)] + [None]:
+        for _ in range(rnd.randint(1, 15)):
+            pc = rnd.choice([None, 1, 2, 2, 3, 5, 8])
+            name = rnd.choice([None, "", "a", "b", "c", "d"])
+            data.append((u, name, pc, 1))
+    per_user: dict = {}
+    for u, name, pc, _ in data:
+        per_user.setdefault(u, []).append((pc, name))
+    sums: dict = {}
+    for u, rs in per_user.items():
+        rs.sort(key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+        for pos, (_, name) in enumerate(rs, start=1):
+            acc = sums.setdefault(name, [0, 0, set()])
+            acc[0] += pos
+            acc[1] += 1
+            if u is not None:
+                acc[2].add(u)
+    expected = {name: (pytest.approx(s / n), len(us)) for name, (s, n, us) in sums.items()}
+    got = {r[0]: r[1:] for r in rows(co.average_position(artists(data)))}
+    assert got == expected
