@@ -10,6 +10,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import MASK_SUFFIX
+
 
 def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -66,6 +68,6 @@ def first_by_playcount(value: Column, playcount: str, ties: Iterable[str]) -> Co
 
 
 def mask_id(c: Column, keep: int = 6) -> Column:
-    """``abc123…`` when the id as text is longer than ``keep`` characters."""
+    """``abc123`` + ``MASK_SUFFIX`` when the id as text is longer than ``keep``."""
     s = c.cast("string")
-    return F.when(F.length(s) > keep, F.concat(F.substring(s, 1, keep), F.lit("…"))).otherwise(s)
+    return F.when(F.length(s) > keep, F.concat(F.substring(s, 1, keep), F.lit(MASK_SUFFIX))).otherwise(s)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (first_by_playcount, percent_of, percentile_disc,
                                  scalar_distinct_count)
-from ..schema import ALBUM, ARTIST, PLAYCOUNT, TRACK, USER
+from ..schema import (ALBUM, ARTIST, PLAYCOUNT, STAT_MEAN, STAT_MEDIAN, STAT_STDDEV, TRACK,
+                      USER)
 
 
 def top_items(lists: DataFrame, item: str, k: int = 20, user: str = USER) -> DataFrame:
@@ -68,11 +69,11 @@ def mention_counts(lists: DataFrame, item: str = ARTIST) -> DataFrame:
 def mention_stats(artists: DataFrame, item: str = ARTIST, stddev_digits: int = 6) -> DataFrame:
     """M5: mean, median and sample stddev of mentions per artist as (metric, value)."""
     stats = mention_counts(artists, item).agg(
-        F.avg("mentions").cast("double").alias("mean"),
-        percentile_disc("mentions", 0.5).alias("median"),
-        F.round(F.stddev_samp("mentions"), stddev_digits).cast("double").alias("stddev"),
+        F.avg("mentions").cast("double").alias(STAT_MEAN),
+        percentile_disc("mentions", 0.5).alias(STAT_MEDIAN),
+        F.round(F.stddev_samp("mentions"), stddev_digits).cast("double").alias(STAT_STDDEV),
     )
-    return stats.unpivot([], ["mean", "median", "stddev"], "metric", "value")
+    return stats.unpivot([], [STAT_MEAN, STAT_MEDIAN, STAT_STDDEV], "metric", "value")
 
 
 def long_tail(artists: DataFrame, share: float = 0.8, item: str = ARTIST) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import mask_id
+from ..schema import STAT_MEAN, STAT_MEDIAN
 
 
 def ranked_page(result: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -43,8 +44,8 @@ def items_per_user_summary(parts: Mapping[str, tuple[DataFrame, DataFrame]]) ->
     for item_type, (counts, stats) in parts.items():
         total = counts.agg(F.count(F.lit(1))).scalar()
         rows.append(stats.agg(
-            F.max(F.when(F.lower(F.trim("metric")) == "mean", F.col("value"))).alias("mean"),
-            F.max(F.when(F.lower(F.trim("metric")) == "median", F.col("value"))).alias("median"),
+            F.max(F.when(F.lower(F.trim("metric")) == STAT_MEAN, F.col("value"))).alias("mean"),
+            F.max(F.when(F.lower(F.trim("metric")) == STAT_MEDIAN, F.col("value"))).alias("median"),
         ).select(F.lit(item_type).alias("item_type"), total.alias("total_users"), "mean", "median"))
     out = rows[0]
     for r in rows[1:]:

@@ -18,6 +18,7 @@ from ..operators import cooccur as co
 from ..operators import counts as cnt
 from ..operators import popularity as pop
 from ..operators import quality as qa
+from ..schema import RESULT_TABLES
 
 Lists = dict[str, DataFrame]  # keys: artists, tracks, albums
 Result = Callable[[Lists], DataFrame]
@@ -87,10 +88,11 @@ GROUPS: dict[str, Callable[[], dict[str, Result]]] = {
 
 
 def suite_results(groups: Iterable[str] | None = None) -> dict[str, Result]:
+    """Result name → builder, in the order of ``schema.RESULT_TABLES``."""
     out: dict[str, Result] = {}
     for g in groups or GROUPS:
         out.update(GROUPS[g]())
-    return out
+    return {name: out[name] for name in RESULT_TABLES if name in out}
 
 
 def run_suite(spark: SparkSession, lists: Lists, store, groups: Iterable[str] | None = None,

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import DATASETS, USER
+from ..schema import DATASETS, EXPECTED_DATASETS, USER
 from .sinks import validate_parquet, write_csv, write_parquet
 
 CORRUPT = "_corrupt_record"
@@ -128,7 +128,9 @@ def run_loader(spark: SparkSession, raw_dir: str, parquet_dir: str, backup_dir:
     ``success = false`` and its error, and the others still load.
     """
     raw_dir, parquet_dir, backup_dir = (d.rstrip("/") for d in (raw_dir, parquet_dir, backup_dir))
-    present = [n for n in datasets if _exists(spark, f"{raw_dir}/{n}.csv")]
+    order = [n for n in EXPECTED_DATASETS if n in datasets] + \
+        [n for n in datasets if n not in EXPECTED_DATASETS]
+    present = [n for n in order if _exists(spark, f"{raw_dir}/{n}.csv")]
     if not present:
         raise FileNotFoundError(f"no expected CSV file under {raw_dir}: {sorted(datasets)}")
     rows = [ingest_dataset(spark, n, f"{raw_dir}/{n}.csv", f"{parquet_dir}/{n}",

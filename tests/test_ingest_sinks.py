@@ -95,3 +95,11 @@ def test_parquet_store_suite_all_results(spark, artists, tracks, albums):
     assert len(written) == 27
     assert written["top_50_artist_pairs"] == 1
     assert rows(store.read(spark, "top_50_artist_pairs")) == [("A", "B", 2)]
+
+
+def test_suite_writes_exactly_the_fixed_result_tables():
+    from encore.plans.suite import GROUPS, suite_results
+    from encore.schema import RESULT_TABLES
+    names = [n for g in GROUPS.values() for n in g()]
+    assert sorted(names) == sorted(RESULT_TABLES)
+    assert list(suite_results()) == list(RESULT_TABLES)
