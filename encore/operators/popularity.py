@@ -51,9 +51,13 @@ def first_items(lists: DataFrame, item: str = ARTIST, user: str = USER,
 
 
 def same_top1_artist(artists: DataFrame, item: str = ARTIST, k: int = 1) -> DataFrame:
-    """M4: the most common #1 artist, its users and their share of all users."""
+    """M4: the most common #1 artist, its users and their share of all users.
+
+    ``first_items`` has one row per user (the NULL user included), so the
+    total is its row count.
+    """
     firsts = first_items(artists, item)
-    total = scalar_distinct_count(firsts, USER)
+    total = firsts.agg(F.count(F.lit(1))).scalar()
     return (firsts.groupBy(item)
             .agg(F.countDistinct(USER).alias("users_count"))
             .orderBy(F.col("users_count").desc(), F.col(item).asc_nulls_first())
