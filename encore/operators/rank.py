@@ -1,10 +1,17 @@
 """M25 — per-user ranker.
 
 ``row_number`` over ``playcount`` descending within each user, with name
-columns appended ascending so ties are deterministic. When ``k`` is given the
-filter sits directly on the rank so Catalyst inserts a partial
-``WindowGroupLimit`` before the shuffle: each map task forwards at most ``k``
-rows per user, so a hot user never lands whole in one task.
+columns appended ascending so ties are deterministic.
+
+* With ``k`` (top-k per user) the filter sits directly on the rank, so
+  Catalyst inserts a partial ``WindowGroupLimit`` before the shuffle: each map
+  task forwards at most ``k`` rows per user, so a hot user never lands whole in
+  one task.
+* Without ``k`` (every row ranked) no window spans a whole user. The rank is
+  ``(the user's rows with a higher playcount) + row_number within (user,
+  playcount)``: the first term is a running sum over the per-user histogram of
+  distinct playcounts, the second a window partitioned by (user, playcount), so
+  a user with a third of all rows is spread over tasks by its playcount values.
 """
 
 from __future__ import annotations
@@ -22,10 +29,40 @@ def user_window(ties: Sequence[str], user: str = USER, playcount: str = PLAYCOUN
     return Window.partitionBy(user).orderBy(*order_desc_then(playcount, ties))
 
 
+def rows_above(lists: DataFrame, user: str = USER, playcount: str = PLAYCOUNT,
+               weight: str | None = None) -> DataFrame:
+    """Per (user, playcount): the user's rows with a higher playcount.
+
+    Returns (``_u``, ``_pc``, ``_above``); ``weight`` is a row-multiplicity
+    column (each row counts once when omitted). NULL playcounts rank last, as in
+    a descending order.
+    """
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    higher = (Window.partitionBy("_u").orderBy(F.col("_pc").desc())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (lists.groupBy(F.col(user).alias("_u"), F.col(playcount).alias("_pc"))
+            .agg(n.alias("_rows"))
+            .select("_u", "_pc", F.coalesce(F.sum("_rows").over(higher), F.lit(0))
+                    .alias("_above")))
+
+
+def join_rows_above(df: DataFrame, above: DataFrame, user: str = USER,
+                    playcount: str = PLAYCOUNT) -> DataFrame:
+    """Attach ``_above`` on (user, playcount), NULL-safe on both keys."""
+    return (df.join(above, F.col(user).eqNullSafe(F.col("_u"))
+                    & F.col(playcount).eqNullSafe(F.col("_pc")))
+            .drop("_u", "_pc"))
+
+
 def rank_within_user(lists: DataFrame, ties: Sequence[str], k: int | None = None,
                      rank_col: str = "rn", user: str = USER,
                      playcount: str = PLAYCOUNT) -> DataFrame:
-    ranked = lists.withColumn(rank_col, F.row_number().over(user_window(ties, user, playcount)))
     if k is not None:
-        ranked = ranked.where(F.col(rank_col) <= k)
-    return ranked
+        ranked = lists.withColumn(rank_col, F.row_number().over(user_window(ties, user, playcount)))
+        return ranked.where(F.col(rank_col) <= k)
+    same_pc = Window.partitionBy(user, playcount).orderBy(
+        *[F.col(t).asc_nulls_first() for t in ties])
+    ranked = lists.withColumn("_in_pc", F.row_number().over(same_pc))
+    ranked = join_rows_above(ranked, rows_above(lists, user, playcount), user, playcount)
+    return (ranked.withColumn(rank_col, (F.col("_above") + F.col("_in_pc")).cast("int"))
+            .drop("_above", "_in_pc"))

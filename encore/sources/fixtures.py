@@ -8,9 +8,11 @@ in SQL in ``plans/oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rank import rank_within_user
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -58,9 +60,7 @@ def _aggregate_list(p: DataFrame, keys: list[str], ties: list[str],
                     with_rank: bool) -> DataFrame:
     agg = p.groupBy("user_id", *keys).agg(F.sum("qty").cast("long").alias("playcount"))
     if with_rank:
-        w = Window.partitionBy("user_id").orderBy(
-            F.col("playcount").desc(), *[F.col(c).asc_nulls_first() for c in ties])
-        agg = agg.withColumn("rank", F.row_number().over(w))
+        agg = rank_within_user(agg, ties, rank_col="rank")
     return agg
 
 

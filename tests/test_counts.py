@@ -54,3 +54,18 @@ def test_rank_limit_uses_window_group_limit(artists):
     df = rank_within_user(artists([("u1", "A", 1, 1)]), ["artist_name"], k=3)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_full_rank_matches_row_number_with_duplicates_and_nulls(artists):
+    import random
+    from pyspark.sql import functions as F
+    from encore.operators.rank import user_window
+    rnd = random.Random(5)
+    data = [(rnd.choice(["u1", "u2", "u3", None]), rnd.choice([None, "", "a", "b", "c"]),
+             rnd.choice([None, 1, 2, 3]), 1) for _ in range(120)]
+    df = artists(data)
+    split = rank_within_user(df, ["artist_name"])
+    plain = df.withColumn("rn", F.row_number().over(user_window(["artist_name"])))
+    key = ("user_id", "playcount", "artist_name", "rn")
+    assert sorted(rows(split, *key), key=repr) == sorted(rows(plain, *key), key=repr)
+    assert "Window" in split._jdf.queryExecution().executedPlan().toString()
