@@ -7,51 +7,73 @@ columns appended ascending so ties are deterministic.
   Catalyst inserts a partial ``WindowGroupLimit`` before the shuffle: each map
   task forwards at most ``k`` rows per user, so a hot user never lands whole in
   one task.
-* Without ``k`` (every row ranked) no window spans a whole user. The rank is
-  ``(the user's rows with a higher playcount) + row_number within (user,
-  playcount)``: the first term is a running sum over the per-user histogram of
-  distinct playcounts, the second a window partitioned by (user, playcount), so
-  a user with a third of all rows is spread over tasks by its playcount values.
+* Without ``k`` (every row ranked) the rank is 1 + the user's rows before it
+  in that order, an exclusive running count from ``running_total``, which
+  splits every user into ordered range buckets: no window holds a whole user.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import order_desc_then
 from ..schema import PLAYCOUNT, USER
+from ..session import ensure_checkpoint_dir
 
 
 def user_window(ties: Sequence[str], user: str = USER, playcount: str = PLAYCOUNT):
     return Window.partitionBy(user).orderBy(*order_desc_then(playcount, ties))
 
 
-def rows_above(lists: DataFrame, user: str = USER, playcount: str = PLAYCOUNT,
-               weight: str | None = None) -> DataFrame:
-    """Per (user, playcount): the user's rows with a higher playcount.
+def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column],
+                  value: str | None = None, out: str = "_before",
+                  buckets: int | None = None) -> DataFrame:
+    """Exclusive running total of ``value`` (a row count when omitted) within
+    each ``by`` group, in ``order``; added as column ``out`` (long).
 
-    Returns (``_u``, ``_pc``, ``_above``); ``weight`` is a row-multiplicity
-    column (each row counts once when omitted). NULL playcounts rank last, as in
-    a descending order.
+    No task holds a whole group, however large:
+
+    1. ``repartitionByRange`` on (by…, order…) cuts the rows into contiguous,
+       ordered buckets. Spark samples the boundaries from the data, so a group
+       holding a third of all rows is spread over many buckets. The bucket id
+       (``spark_partition_id``) is checkpointed with the rows into the shared
+       checkpoint folder: every later read, and every retry after a lost
+       executor, sees the same buckets.
+    2. ``before(row)`` = (the group's total in earlier buckets) + (the running
+       total within its (group, bucket)). The first term is a running sum over
+       per-(group, bucket) totals — at most ``buckets`` rows for any group; the
+       second a window partitioned by (group, bucket).
+
+    ``order`` should be a total order within a group; rows tied on it are
+    counted one after another, as ``row_number`` does.
     """
-    n = F.sum(weight) if weight else F.count(F.lit(1))
-    higher = (Window.partitionBy("_u").orderBy(F.col("_pc").desc())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    return (lists.groupBy(F.col(user).alias("_u"), F.col(playcount).alias("_pc"))
-            .agg(n.alias("_rows"))
-            .select("_u", "_pc", F.coalesce(F.sum("_rows").over(higher), F.lit(0))
-                    .alias("_above")))
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
+    by = list(by)
+    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by], *order)
+              .withColumn("_b", F.spark_partition_id())
+              .checkpoint())
 
+    # One non-NULL key per group: struct(by…) equals itself even when a field
+    # is NULL, so the window and the join share one plain hash partitioning.
+    ranged = ranged.withColumn("_g", F.struct(*by))
+    v = F.col(value) if value else F.lit(1)
+    within = (Window.partitionBy("_g", "_b").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranged = ranged.withColumn("_in", F.coalesce(F.sum(v).over(within), F.lit(0)).cast("long"))
 
-def join_rows_above(df: DataFrame, above: DataFrame, user: str = USER,
-                    playcount: str = PLAYCOUNT) -> DataFrame:
-    """Attach ``_above`` on (user, playcount), NULL-safe on both keys."""
-    return (df.join(above, F.col(user).eqNullSafe(F.col("_u"))
-                    & F.col(playcount).eqNullSafe(F.col("_pc")))
-            .drop("_u", "_pc"))
+    earlier = Window.partitionBy("_kg").orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranged.groupBy(F.col("_g").alias("_kg"), F.col("_b").alias("_kb"))
+               .agg(F.sum(v).alias("_bt"))
+               .withColumn("_off", F.coalesce(F.sum("_bt").over(earlier), F.lit(0)).cast("long"))
+               .drop("_bt"))
+    joined = ranged.join(offsets, (F.col("_g") == F.col("_kg")) & (F.col("_b") == F.col("_kb")))
+    return (joined.withColumn(out, F.col("_off") + F.col("_in"))
+            .drop("_g", "_b", "_in", "_off", "_kg", "_kb"))
 
 
 def rank_within_user(lists: DataFrame, ties: Sequence[str], k: int | None = None,
@@ -60,9 +82,6 @@ def rank_within_user(lists: DataFrame, ties: Sequence[str], k: int | None = None
     if k is not None:
         ranked = lists.withColumn(rank_col, F.row_number().over(user_window(ties, user, playcount)))
         return ranked.where(F.col(rank_col) <= k)
-    same_pc = Window.partitionBy(user, playcount).orderBy(
-        *[F.col(t).asc_nulls_first() for t in ties])
-    ranked = lists.withColumn("_in_pc", F.row_number().over(same_pc))
-    ranked = join_rows_above(ranked, rows_above(lists, user, playcount), user, playcount)
-    return (ranked.withColumn(rank_col, (F.col("_above") + F.col("_in_pc")).cast("int"))
-            .drop("_above", "_in_pc"))
+    ranked = running_total(lists, [user], order_desc_then(playcount, ties), out="_before")
+    return (ranked.withColumn(rank_col, (F.col("_before") + 1).cast("int"))
+            .drop("_before"))

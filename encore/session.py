@@ -34,18 +34,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The session's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
-    from the session. Only when it is unset (tests, local runs) is a local
-    folder created and registered as the checkpoint folder.
+    On a cluster it is set and only read. Only when it is unset (tests, local
+    runs) is a local folder created and registered.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="encore-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
-        base = sc.getCheckpointDir() or base
+    return sc.getCheckpointDir() or base
+
+
+def shared_dir(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder.
+
+    The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
+    from the session. Only when it is unset (tests, local runs) is a local
+    folder created and registered as the checkpoint folder.
+    """
+    base = ensure_checkpoint_dir(spark)
     name = "-".join(parts) if parts else "work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

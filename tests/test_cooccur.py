@@ -135,3 +135,24 @@ def test_average_position_matches_brute_force_with_nulls(artists):
     expected = {name: (pytest.approx(s / n), len(us)) for name, (s, n, us) in sums.items()}
     got = {r[0]: r[1:] for r in rows(co.average_position(artists(data)))}
     assert got == expected
+
+
+def test_average_position_hot_user_spread_over_buckets(artists):
+    """A user holding most rows (mostly one playcount) against brute force."""
+    rnd = random.Random(3)
+    data = [("hot", f"a{rnd.randrange(300):03d}", rnd.choice([4, 4, 4, 7]), 1) for _ in range(700)]
+    data += [(f"u{i}", f"a{rnd.randrange(300):03d}", rnd.randrange(6), 1) for i in range(80)]
+    per_user: dict = {}
+    for u, name, pc, _ in data:
+        per_user.setdefault(u, []).append((pc, name))
+    sums: dict = {}
+    for u, rs in per_user.items():
+        rs.sort(key=lambda r: (-r[0], r[1]))
+        for pos, (_, name) in enumerate(rs, start=1):
+            acc = sums.setdefault(name, [0, 0, set()])
+            acc[0] += pos
+            acc[1] += 1
+            acc[2].add(u)
+    expected = {name: (pytest.approx(s / n), len(us)) for name, (s, n, us) in sums.items()}
+    got = {r[0]: r[1:] for r in rows(co.average_position(artists(data)))}
+    assert got == expected

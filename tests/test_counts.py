@@ -69,3 +69,23 @@ def test_full_rank_matches_row_number_with_duplicates_and_nulls(artists):
     key = ("user_id", "playcount", "artist_name", "rn")
     assert sorted(rows(split, *key), key=repr) == sorted(rows(plain, *key), key=repr)
     assert "Window" in split._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_total_splits_a_hot_user_over_buckets(spark, artists):
+    """One user with most rows, nearly all at one playcount: the rows spread
+    over several range buckets, and ranks still equal a plain row_number."""
+    import random
+    from pyspark.sql import functions as F
+    from encore.operators.rank import user_window
+    rnd = random.Random(7)
+    data = [("hot", f"a{i:04d}", rnd.choice([1, 1, 1, 1, 2, 3]), 1) for i in range(600)]
+    data += [(f"u{i}", f"a{rnd.randrange(50):04d}", rnd.randrange(5), 1) for i in range(60)]
+    df = artists(data)
+    buckets = (df.repartitionByRange(8, "user_id", F.col("playcount").desc(), "artist_name")
+               .where(F.col("user_id") == "hot").select(F.spark_partition_id().alias("b"))
+               .distinct().count())
+    assert buckets > 2
+    split = rank_within_user(df, ["artist_name"])
+    plain = df.withColumn("rn", F.row_number().over(user_window(["artist_name"])))
+    key = ("user_id", "playcount", "artist_name", "rn")
+    assert sorted(rows(split, *key), key=repr) == sorted(rows(plain, *key), key=repr)

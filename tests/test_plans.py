@@ -39,10 +39,10 @@ def test_average_position_has_no_window_over_whole_users(artists):
     plan = _plan(co.average_position(artists([("u1", "A", 2, 1), ("u1", "B", 1, 2)])))
     parts = _window_partitions(plan)
     assert parts, plan
-    # one window over (user, playcount); one over the per-user playcount histogram
-    assert any("playcount" in p for p in parts)
-    hist = [p for p in parts if "playcount" not in p]
-    assert all(p.startswith("_u") for p in hist)
+    # every window is partitioned by (group, range bucket) or runs over the
+    # per-(group, bucket) totals (partitioned by group _kg, ordered by bucket)
+    for p in parts:
+        assert "_b#" in p or p.startswith("_kg"), p
 
 
 def test_pairs_expand_on_explicit_repartition(artists):
