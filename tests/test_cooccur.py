@@ -156,3 +156,14 @@ def test_average_position_hot_user_spread_over_buckets(artists):
     expected = {name: (pytest.approx(s / n), len(us)) for name, (s, n, us) in sums.items()}
     got = {r[0]: r[1:] for r in rows(co.average_position(artists(data)))}
     assert got == expected
+
+
+def test_default_splits_heavy_users_through_self_join(artists):
+    """By default the main pass routes users over ``max_set_size`` through the
+    self-join (anti/semi joins on the heavy users); exact counts on that path
+    are checked in ``test_heavy_users_take_self_join_path``."""
+    df = artists([(f"u{i}", f"a{j}", 1, j + 1) for i in range(4) for j in range(4)])
+    for out in (co.artist_pairs(df), co.artist_triplets(df)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "LeftSemi" in plan
+    assert rows(co.artist_pairs(df, top=1)) == [("a0", "a1", 4)]
