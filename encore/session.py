@@ -37,12 +37,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster it is set and only read. Only when it is unset (tests, local
-    runs) is a local folder created and registered.
+    On a cluster it is set and only read; a cluster session without it is an
+    error, since a machine-local folder is not shared by the executors. Only a
+    ``local[...]`` session (tests, local runs) gets a local folder created and
+    registered when it is unset.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="encore-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
