@@ -158,12 +158,26 @@ def test_average_position_hot_user_spread_over_buckets(artists):
     assert got == expected
 
 
+@pytest.mark.parametrize("size", [2, 3])
+def test_salted_self_join_splits_hot_users_exactly(artists, size):
+    """A tiny budget forces several salts per heavy user; counts stay exact."""
+    rnd = random.Random(13)
+    pool = [f"a{i:02d}" for i in range(24)]
+    data = [("hot", a, 1, r + 1) for r, a in enumerate(pool)]          # one hot user
+    for u in range(30):
+        chosen = sorted(set(rnd.choices(pool, k=rnd.randint(1, 8))))
+        data += [(f"user{u}", a, 1, r + 1) for r, a in enumerate(chosen)]
+    out = co.top_combinations(artists(data), size, 40, max_set=6, budget=20, count_col="n")
+    assert rows(out) == brute_force(data, size, 40)
+
+
 def test_default_splits_heavy_users_through_self_join(artists):
     """By default the main pass routes users over ``max_set_size`` through the
-    self-join (anti/semi joins on the heavy users); exact counts on that path
-    are checked in ``test_heavy_users_take_self_join_path``."""
+    salted self-join (an anti-join keeps them out of the arrays); exact counts
+    on that path are checked by test_heavy_users_take_self_join_path and
+    test_salted_self_join_splits_hot_users_exactly."""
     df = artists([(f"u{i}", f"a{j}", 1, j + 1) for i in range(4) for j in range(4)])
     for out in (co.artist_pairs(df), co.artist_triplets(df)):
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "LeftAnti" in plan and "LeftSemi" in plan
+        assert "LeftAnti" in plan and "pmod(xxhash64" in plan and "sequence(0" in plan
     assert rows(co.artist_pairs(df, top=1)) == [("a0", "a1", 4)]
