@@ -42,7 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``local[...]`` session (tests, local runs) gets a local folder created and
     registered when it is unset.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return base
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not sc.master.startswith("local"):
