@@ -181,3 +181,9 @@ def test_default_splits_heavy_users_through_self_join(artists):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "LeftAnti" in plan and "pmod(xxhash64" in plan and "sequence(0" in plan
     assert rows(co.artist_pairs(df, top=1)) == [("a0", "a1", 4)]
+
+
+def test_average_position_and_full_rank_on_empty_input(artists):
+    from encore.operators.rank import rank_within_user
+    assert rows(co.average_position(artists([]))) == []
+    assert rows(rank_within_user(artists([]), ["artist_name"])) == []
