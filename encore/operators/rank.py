@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import order_desc_then
 from ..schema import PLAYCOUNT, USER
-from ..session import ensure_checkpoint_dir
+from ..session import shared_dir
 
 
 def user_window(ties: Sequence[str], user: str = USER, playcount: str = PLAYCOUNT):
@@ -39,9 +39,10 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     1. ``repartitionByRange`` on (by…, order…) cuts the rows into contiguous,
        ordered buckets. Spark samples the boundaries from the data, so a group
        holding a third of all rows is spread over many buckets. The bucket id
-       (``spark_partition_id``) is checkpointed with the rows into the shared
-       checkpoint folder: every later read, and every retry after a lost
-       executor, sees the same buckets.
+       (``spark_partition_id``) is written with the rows as Parquet into the
+       session's shared checkpoint folder: every later read, and every retry
+       after a lost executor, sees the same buckets, and the reads prune to the
+       columns they need.
     2. ``before(row)`` = (the group's total in earlier buckets) + (the running
        total within its (group, bucket)). The first term is a running sum over
        per-(group, bucket) totals — at most ``buckets`` rows for any group; the
@@ -52,11 +53,12 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
     by = list(by)
-    ranged = (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by], *order)
-              .withColumn("_b", F.spark_partition_id())
-              .checkpoint())
+    path = shared_dir(spark, "buckets")
+    (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by], *order)
+     .withColumn("_b", F.spark_partition_id())
+     .write.parquet(path))
+    ranged = spark.read.parquet(path)
 
     # One non-NULL key per group: struct(by…) equals itself even when a field
     # is NULL, so the window and the join share one plain hash partitioning.
