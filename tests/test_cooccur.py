@@ -187,3 +187,23 @@ def test_average_position_and_full_rank_on_empty_input(artists):
     from encore.operators.rank import rank_within_user
     assert rows(co.average_position(artists([]))) == []
     assert rows(rank_within_user(artists([]), ["artist_name"])) == []
+
+
+def test_candidate_rows_split_hot_items_exactly(spark, artists):
+    """Both halves of the hot/cold item split are used; their union equals the
+    plain join of (user, item) rows with the items of degree ≥ tau."""
+    from pyspark.sql import functions as F
+    rnd = random.Random(21)
+    pool = [f"a{i:02d}" for i in range(20)]
+    weights = [1.0 / (i + 1) for i in range(20)]
+    data = [(f"u{u}", a, 1, 1) for u in range(60)
+            for a in {"a00"} | set(rnd.choices(pool, weights, k=rnd.randint(1, 8)))]
+    ui = artists(data).select("user_id", "artist_name").distinct()
+    ids = co.item_ids(ui, "artist_name")
+    tau = F.lit(3)
+    total = sum(r[0] for r in ids.select("_deg").collect())
+    hot = [r[0] for r in ids.where(F.col("_deg") * 8 >= total).select("artist_name").collect()]
+    assert 0 < len(hot) < 20
+    got = co._candidate_rows(ui, ids, tau, "user_id", "artist_name", hot_items=8)
+    want = ui.join(ids.where(F.col("_deg") >= tau), "artist_name").select("user_id", "_id")
+    assert sorted(rows(got), key=repr) == sorted(rows(want), key=repr)
