@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rank import rank_within_user
+from ..operators.skew import hot_keys, salted_join
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -39,11 +40,18 @@ def plays(t: DriverTables) -> DataFrame:
     supplier = t["supplier"].select("s_suppkey", "s_name", "s_nationkey")
     nation = t["nation"].select("n_nationkey", "n_regionkey")
     region = t["region"].select("r_regionkey", "r_name")
-    joined = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-                .join(part, li.l_partkey == part.p_partkey)
-                .join(supplier, li.l_suppkey == supplier.s_suppkey)
-                .join(nation, supplier.s_nationkey == nation.n_nationkey)
-                .join(region, nation.n_regionkey == region.r_regionkey))
+    # An order has at most seven line items, so the order join has no hot key.
+    # A part or supplier may be hot (assume a third of all line items): those
+    # joins are salted on the hot keys, counted over lineitem alone. Nation and
+    # region are fixed-size (25 and 5 rows) and broadcast by size.
+    line_id = ["l_orderkey", "l_linenumber"]
+    joined = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    joined = salted_join(joined, part, "l_partkey", "p_partkey",
+                         hot=hot_keys(li, "l_partkey"), salt_by=line_id)
+    joined = salted_join(joined, supplier, "l_suppkey", "s_suppkey",
+                         hot=hot_keys(li, "l_suppkey"), salt_by=line_id)
+    joined = (joined.join(nation, joined.s_nationkey == nation.n_nationkey)
+                    .join(region, nation.n_regionkey == region.r_regionkey))
     return joined.select(
         F.col("o_custkey").alias("user_id"),
         F.col("s_name").alias("artist_name"),
