@@ -56,3 +56,12 @@ def test_long_tail_window_runs_on_histogram(artists):
     # the only windows order by the mention count, over the aggregated histogram
     for part in re.findall(r"Window \[(.*?)\]", plan):
         assert "mentions" in part or "weight" in part
+
+
+def test_fixture_joins_are_salted_on_hot_keys(spark):
+    from encore.sources import fixtures as fx
+    plays = fx.plays(fx.DriverTables(spark, "/root/testdata/sf0.001"))
+    plan = _plan(plays)
+    # part and supplier joins: (key, salt) equi-joins, hot keys broadcast
+    assert plan.count("sequence(0") == 2
+    assert "_salt" in plan and "BroadcastExchange" in plan
