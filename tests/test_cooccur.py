@@ -173,13 +173,13 @@ def test_salted_self_join_splits_hot_users_exactly(artists, size):
 
 def test_default_splits_heavy_users_through_self_join(artists):
     """By default the main pass routes users over ``max_set_size`` through the
-    salted self-join (an anti-join keeps them out of the arrays); exact counts
+    salted self-join (a salted left join tags their rows); exact counts
     on that path are checked by test_heavy_users_take_self_join_path and
     test_salted_self_join_splits_hot_users_exactly."""
     df = artists([(f"u{i}", f"a{j}", 1, j + 1) for i in range(4) for j in range(4)])
     for out in (co.artist_pairs(df), co.artist_triplets(df)):
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "LeftAnti" in plan and "pmod(xxhash64" in plan and "sequence(0" in plan
+        assert "LeftOuter" in plan and "pmod(xxhash64" in plan and "sequence(0" in plan
     assert rows(co.artist_pairs(df, top=1)) == [("a0", "a1", 4)]
 
 

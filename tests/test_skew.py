@@ -31,3 +31,13 @@ def test_salted_join_without_hot_keys(spark):
     got = salted_join(big, small.withColumnRenamed("k", "sk"), "k", "sk", hot_share=4)
     assert got.count() == 200
     assert rows(hot_keys(big, "k", hot_share=4)) == []
+
+
+def test_salted_left_join_same_key_name(spark):
+    big = spark.createDataFrame([(i, "hot" if i % 4 else f"u{i}") for i in range(120)],
+                                "id long, user_id string")
+    small = spark.createDataFrame([("hot", 90)], "user_id string, _n long")
+    got = salted_join(big, small, "user_id", how="left", hot_share=2, partitions=8)
+    assert got.columns == ["id", "user_id", "_n"]
+    assert rows(got.where("_n is not null")).__len__() == 90
+    assert got.count() == 120
