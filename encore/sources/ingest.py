@@ -1,11 +1,12 @@
 """CSV → Parquet ingest with a load report (S1–S3, S7).
 
-Each dataset is parsed once per write with an explicit schema in PERMISSIVE
-mode plus a corrupt-record column; malformed rows are counted and dropped
-(exactly the rows DROPMALFORMED would drop, but counted correctly and never
-turning a numeric column into text). Row counts for the report come from
-``Observation`` metrics collected by the writes themselves, so no extra
-counting jobs re-read the CSV.
+Each dataset's CSV is parsed once, with an explicit schema in PERMISSIVE mode
+plus a corrupt-record column; malformed rows are counted and dropped (exactly
+the rows DROPMALFORMED would drop, but counted correctly and never turning a
+numeric column into text). The good rows go to a Parquet staging table in the
+shared folder, from which the raw backup and the cleaned table are written.
+Row counts for the report come from ``Observation`` metrics collected by the
+writes themselves, so no extra counting jobs re-read the CSV.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DATASETS, EXPECTED_DATASETS, USER
+from ..session import shared_dir
 from .sinks import validate_parquet, write_csv, write_parquet
 
 CORRUPT = "_corrupt_record"
@@ -87,16 +89,21 @@ def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path:
         report["size_mb"] = file_size_mb(spark, csv_path)
         schema = header_schema(spark, csv_path, known)
 
+        # The CSV is parsed once, into a Parquet staging table in the shared
+        # folder; the backup and the clean table are both written from it.
         raw_obs = Observation(f"raw_{name}")
         parsed = read_csv(spark, csv_path, schema).observe(
             raw_obs, F.count(F.lit(1)).alias("rows"), F.count(F.col(CORRUPT)).alias("malformed"))
-        write_csv(drop_malformed(parsed), backup_path)      # S4, before cleaning
+        staging = shared_dir(spark, "ingest-staging", name)
+        write_parquet(drop_malformed(parsed), staging)
         raw = raw_obs.get
         report["malformed_rows"] = int(raw["malformed"])
         report["original_rows"] = int(raw["rows"]) - int(raw["malformed"])
+        good = spark.read.parquet(staging)
+        write_csv(good, backup_path)                         # S4, before cleaning
 
         clean_obs = Observation(f"clean_{name}")
-        cleaned = clean_dataset(drop_malformed(read_csv(spark, csv_path, schema)), name)
+        cleaned = clean_dataset(good, name)
         write_parquet(cleaned.observe(clean_obs, F.count(F.lit(1)).alias("rows")), parquet_path)
         report["cleaned_rows"] = int(clean_obs.get["rows"])
 
