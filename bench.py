@@ -1,8 +1,9 @@
 """Benchmark: the metric suite over lists derived from ``$BENCH_SF_DIR``.
 
 The per-user lists are derived from the driver tables once and written as
-Parquet (timed as ``fixtures``); each metric then runs once from those Parquet
-lists to a ``noop`` sink, which executes the full plan without collecting.
+Parquet (timed as ``fixtures``); each metric then runs from those Parquet
+lists to a ``noop`` sink, which executes the full plan without collecting. A
+query's time is the best of ``$BENCH_REPEAT`` (default 2) runs.
 Before timing, the whole suite runs once on lists from the smallest driver
 tables (``$BENCH_WARMUP_DIR``), so JIT and code generation are not billed to
 whichever query happens to run first. Prints one JSON line.
@@ -51,11 +52,17 @@ def main() -> None:
     lists = materialise(sf_dir, "data")
     fixtures_sec = time.perf_counter() - t0
 
+    # Best of ``BENCH_REPEAT`` runs per query: each run rebuilds and executes
+    # the whole plan; the minimum filters out moments when the host is busy.
+    repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
     timings: dict[str, float] = {}
     for name, build in suite_results().items():
-        t1 = time.perf_counter()
-        build(lists).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t1, 3)
+        runs = []
+        for _ in range(repeat):
+            t1 = time.perf_counter()
+            build(lists).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t1)
+        timings[name] = round(min(runs), 3)
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({
@@ -68,6 +75,7 @@ def main() -> None:
         "list_rows": {n: df.count() for n, df in lists.items()},
         "sf": sf,
         "cpus": cpus,
+        "repeat": repeat,
     }))
     spark.stop()
 
