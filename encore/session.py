@@ -47,7 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+            if not (spark.conf.get("spark.master", "") or "").startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+            base = tempfile.mkdtemp(prefix="encore-ckpt-")
         return base
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
