@@ -41,3 +41,15 @@ def test_salted_left_join_same_key_name(spark):
     assert got.columns == ["id", "user_id", "_n"]
     assert rows(got.where("_n is not null")).__len__() == 90
     assert got.count() == 120
+
+
+def test_salted_join_null_keys_behave_like_a_plain_join(spark):
+    big = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(60)],
+                                "id long, k long")
+    small = spark.createDataFrame([(0, "zero"), (1, "one"), (None, "null")], "sk long, name string")
+    hot = hot_keys(big, "k", hot_share=4, partitions=8)
+    for how in ("inner", "left"):
+        got = salted_join(big, small, "k", "sk", hot=hot, salt_by=["id"], how=how)
+        want = big.join(small, big.k == small.sk, how)
+        cols = ("id", "k", "sk", "name")
+        assert sorted(rows(got, *cols), key=repr) == sorted(rows(want, *cols), key=repr)
