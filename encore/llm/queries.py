@@ -3,13 +3,17 @@ can express. Each query applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
-from . import mixing
+from . import line_quality, mixing, url_graph
 from .common import table
 
 QUERIES = {
+    "op2_line_quality": lambda spark, d: line_quality.line_quality(table(spark, d, "documents")),
     "op4_mixing": lambda spark, d: mixing.mix_query(table(spark, d, "documents")),
+    "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages")),
 }
 
 ORACLE_SQL = {
+    "op2_line_quality": line_quality.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
+    "op10_url_graph": url_graph.ORACLE_SQL,
 }
