@@ -3,10 +3,11 @@ can express. Each query applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
-from . import line_quality, mixing, url_graph
+from . import line_quality, mixing, toxicity, url_graph
 from .common import table
 
 QUERIES = {
+    "op1_toxicity": lambda spark, d: toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op2_line_quality": lambda spark, d: line_quality.line_quality(table(spark, d, "documents")),
     "op4_mixing": lambda spark, d: mixing.mix_query(table(spark, d, "documents")),
     "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages")),
