@@ -3,12 +3,13 @@ can express. Each query applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
-from . import line_quality, mixing, quality_ordinal, toxicity, url_graph
+from . import line_quality, mixing, quality_ordinal, simhash, toxicity, url_graph
 from .common import table
 
 QUERIES = {
     "op1_toxicity": lambda spark, d: toxicity.toxicity(table(spark, d, "documents"), table(spark, d, "labels")),
     "op2_line_quality": lambda spark, d: line_quality.line_quality(table(spark, d, "documents")),
+    "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op4_mixing": lambda spark, d: mixing.mix_query(table(spark, d, "documents")),
     "op8_quality_ordinal": lambda spark, d: quality_ordinal.quality(
         table(spark, d, "documents"), quality_ordinal.label_grades(table(spark, d, "labels"))),
