@@ -3,7 +3,7 @@ can express. Each query applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
-from . import line_quality, mixing, quality_ordinal, simhash, toxicity, url_graph
+from . import decontaminate, line_quality, mixing, quality_ordinal, simhash, toxicity, url_graph
 from .common import table
 
 QUERIES = {
@@ -13,6 +13,8 @@ QUERIES = {
     "op4_mixing": lambda spark, d: mixing.mix_query(table(spark, d, "documents")),
     "op8_quality_ordinal": lambda spark, d: quality_ordinal.quality(
         table(spark, d, "documents"), quality_ordinal.label_grades(table(spark, d, "labels"))),
+    "op9_decontaminate": lambda spark, d: decontaminate.contamination_query(
+        table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages")),
 }
 
