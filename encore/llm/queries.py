@@ -3,7 +3,7 @@ can express. Each query applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, line_quality, mixing, quality_ordinal, simhash, toxicity, url_graph
+from . import decontaminate, line_quality, mixing, pii, quality_ordinal, simhash, toxicity, url_graph
 from .common import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op2_line_quality": lambda spark, d: line_quality.line_quality(table(spark, d, "documents")),
     "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op4_mixing": lambda spark, d: mixing.mix_query(table(spark, d, "documents")),
+    "op7_pii": lambda spark, d: pii.pii_query(table(spark, d, "documents")),
     "op8_quality_ordinal": lambda spark, d: quality_ordinal.quality(
         table(spark, d, "documents"), quality_ordinal.label_grades(table(spark, d, "labels"))),
     "op9_decontaminate": lambda spark, d: decontaminate.contamination_query(
