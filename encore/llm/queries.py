@@ -3,7 +3,18 @@ can express. Each query applies its operator to the whole of its table."""
 
 from __future__ import annotations
 
-from . import decontaminate, line_quality, mixing, pii, quality_ordinal, simhash, suffix_dedup, toxicity, url_graph
+from . import (
+    decontaminate,
+    license_scan,
+    line_quality,
+    mixing,
+    pii,
+    quality_ordinal,
+    simhash,
+    suffix_dedup,
+    toxicity,
+    url_graph,
+)
 from .common import table
 
 QUERIES = {
@@ -12,6 +23,7 @@ QUERIES = {
     "op3_simhash": lambda spark, d: simhash.near_duplicates(table(spark, d, "documents")),
     "op4_mixing": lambda spark, d: mixing.mix_query(table(spark, d, "documents")),
     "op5_suffix_dedup": lambda spark, d: suffix_dedup.suffix_query(table(spark, d, "documents")),
+    "op6_license_scan": lambda spark, d: license_scan.license_query(table(spark, d, "documents")),
     "op7_pii": lambda spark, d: pii.pii_query(table(spark, d, "documents")),
     "op8_quality_ordinal": lambda spark, d: quality_ordinal.quality(
         table(spark, d, "documents"), quality_ordinal.label_grades(table(spark, d, "labels"))),
