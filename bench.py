@@ -34,7 +34,7 @@ def main() -> None:
         t = fx.DriverTables(spark, tables_dir)
         base = shared_dir(spark, "bench", tag)
         plays = fx.plays(t)
-        for name, build in (("artists", fx.user_top_artists), ("tracks", fx.user_top_tracks),
+        for name, build in (("artists", fx.user_ranked_artists), ("tracks", fx.user_top_tracks),
                             ("albums", fx.user_top_albums)):
             build(t, plays).write.mode("overwrite").parquet(f"{base}/{name}")
         return {n: spark.read.parquet(f"{base}/{n}") for n in ("artists", "tracks", "albums")}

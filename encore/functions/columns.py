@@ -41,11 +41,6 @@ def percent_of(num: Column, den: Column) -> Column:
     return F.lit(100.0) * num / F.greatest(den, F.lit(1))
 
 
-def percentile_disc(c: str, p: float) -> Column:
-    """Exact discrete percentile (smallest value with cumulative share ≥ p)."""
-    return F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY `{c}`)").cast("double")
-
-
 def order_desc_then(measure: str | Column, ties: Iterable[str]) -> list[Column]:
     """Measure descending, then names ascending — deterministic ties."""
     return [col_of(measure).desc()] + [F.col(t).asc_nulls_first() for t in ties]
@@ -54,10 +49,10 @@ def order_desc_then(measure: str | Column, ties: Iterable[str]) -> list[Column]:
 def first_by_playcount(value: Column, playcount: str, ties: Iterable[str]) -> Column:
     """Aggregate: ``value`` of the row ranked first by playcount desc, ties asc.
 
-    ``min_by`` over an ordering struct is a plain hash aggregate, so it combines
-    map-side: a user holding a third of all rows costs one small state per task,
-    never a full sort of that user's rows. NULL playcounts sort last, as in a
-    descending window order.
+    ``min_by`` over an ordering struct combines map-side: a user holding a third of
+    all rows sends one row per map task to the shuffle. Its buffer holds strings, so
+    Spark plans it as a sort aggregate: each task sorts its own rows by user before
+    the partial step. NULL playcounts sort last, as in a descending window order.
     """
     ordering = F.struct(
         F.col(playcount).isNull().alias("_pc_null"),

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (first_by_playcount, percent_of, percentile_disc,
-                                 scalar_distinct_count)
+from ..functions.columns import first_by_playcount, percent_of, scalar_distinct_count
+from ..functions.histogram import summary
 from ..schema import (ALBUM, ARTIST, PLAYCOUNT, STAT_MEAN, STAT_MEDIAN, STAT_STDDEV, TRACK,
                       USER)
 
@@ -50,16 +50,19 @@ def first_items(lists: DataFrame, item: str = ARTIST, user: str = USER,
             .agg(first_by_playcount(F.col(item), playcount, ties).alias(alias or item)))
 
 
-def same_top1_artist(artists: DataFrame, item: str = ARTIST, k: int = 1) -> DataFrame:
+def same_top1_artist(artists: DataFrame, item: str = ARTIST, k: int = 1,
+                     user: str = USER) -> DataFrame:
     """M4: the most common #1 artist, its users and their share of all users.
 
-    ``first_items`` has one row per user (the NULL user included), so the
-    total is its row count.
+    ``first_items`` has one row per user, the NULL user included, so an artist's users
+    are its non-NULL rows and the total is the sum of all rows: a window over the
+    grouped result, from one scan of the list.
     """
-    firsts = first_items(artists, item)
-    total = firsts.agg(F.count(F.lit(1))).scalar()
-    return (firsts.groupBy(item)
-            .agg(F.countDistinct(USER).alias("users_count"))
+    per_artist = first_items(artists, item, user).groupBy(item).agg(
+        F.count(user).alias("users_count"), F.count(F.lit(1)).alias("_rows"))
+    # Totalled map-side into one row, then joined by the scalar: the groups are reused.
+    total = per_artist.agg(F.sum("_rows")).scalar()
+    return (per_artist.drop("_rows")
             .orderBy(F.col("users_count").desc(), F.col(item).asc_nulls_first())
             .limit(k)
             .withColumn("percentage", percent_of(F.col("users_count"), total)))
@@ -70,13 +73,10 @@ def mention_counts(lists: DataFrame, item: str = ARTIST) -> DataFrame:
     return lists.groupBy(item).agg(F.count(F.lit(1)).alias("mentions"))
 
 
-def mention_stats(artists: DataFrame, item: str = ARTIST, stddev_digits: int = 6) -> DataFrame:
+def mention_stats(artists: DataFrame, item: str = ARTIST) -> DataFrame:
     """M5: mean, median and sample stddev of mentions per artist as (metric, value)."""
-    stats = mention_counts(artists, item).agg(
-        F.avg("mentions").cast("double").alias(STAT_MEAN),
-        percentile_disc("mentions", 0.5).alias(STAT_MEDIAN),
-        F.round(F.stddev_samp("mentions"), stddev_digits).cast("double").alias(STAT_STDDEV),
-    )
+    stats = summary(mention_counts(artists, item), "mentions", {STAT_MEDIAN: 0.5},
+                    mean=STAT_MEAN, stddev=STAT_STDDEV)
     return stats.unpivot([], [STAT_MEAN, STAT_MEDIAN, STAT_STDDEV], "metric", "value")
 
 

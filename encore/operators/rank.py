@@ -9,7 +9,7 @@ columns appended ascending so ties are deterministic.
   one task.
 * Without ``k`` (every row ranked) the rank is 1 + the user's rows before it
   in that order, an exclusive running count from ``running_total``, which
-  splits every user into ordered range buckets: no window holds a whole user.
+  splits users above ``GROUP_LIMIT`` rows into ordered range buckets.
 """
 
 from __future__ import annotations
@@ -23,67 +23,76 @@ from ..functions.columns import order_desc_then
 from ..schema import PLAYCOUNT, USER
 from ..session import shared_dir
 
+# Rows of one group that one task may sort (about 100 MB).
+GROUP_LIMIT = 1 << 20
+
 
 def user_window(ties: Sequence[str], user: str = USER, playcount: str = PLAYCOUNT):
     return Window.partitionBy(user).orderBy(*order_desc_then(playcount, ties))
 
 
-def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column],
-                  value: str | None = None, out: str = "_before",
-                  buckets: int | None = None) -> DataFrame:
-    """Exclusive running total of ``value`` (a row count when omitted) within
-    each ``by`` group, in ``order``; added as column ``out`` (long).
-
-    No task holds a whole group, however large:
-
-    1. ``repartitionByRange`` on (by…, order…) cuts the rows into contiguous,
-       ordered buckets. Spark samples the boundaries from the data, so a group
-       holding a third of all rows is spread over many buckets. The bucket id
-       (``spark_partition_id``) is written with the rows as Parquet into the
-       session's shared checkpoint folder: every later read, and every retry
-       after a lost executor, sees the same buckets, and the reads prune to the
-       columns they need.
-    2. ``before(row)`` = (the group's total in earlier buckets) + (the running
-       total within its (group, bucket)). The first term is a running sum over
-       per-(group, bucket) totals — at most ``buckets`` rows for any group; the
-       second a window partitioned by (group, bucket).
-
-    ``order`` should be a total order within a group; rows tied on it are
-    counted one after another, as ``row_number`` does.
+def running_total(df: DataFrame, by: str, order: Sequence[Column], value: str | None = None,
+                  out: str = "_before", group_limit: int = GROUP_LIMIT,
+                  folder: str | None = None) -> DataFrame:
+    """Exclusive running total of ``value`` (a row count when omitted) within each
+    ``by`` group, in ``order``; added as column ``out`` (long).
+
+    Groups of at most ``group_limit`` rows take one window. Larger ones are found by
+    one count per group, run here; only if there are any are their rows written, to
+    ``folder`` (by default one in the session's shared folder; whoever reads the result
+    removes it), in contiguous range buckets: see ``write_ranged``. A group holding a
+    third of all rows is then spread over many buckets.
+
+    ``order`` should be a total order within a group; rows tied on it are counted one
+    after another, as ``row_number`` does.
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by = list(by)
-    path = shared_dir(spark, "buckets")
-    (df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by], *order)
-     .withColumn("_b", F.spark_partition_id())
-     .write.parquet(path))
-    ranged = spark.read.parquet(path)
-
-    # One non-NULL key per group: struct(by…) equals itself even when a field
-    # is NULL, so the window and the join share one plain hash partitioning.
-    ranged = ranged.withColumn("_g", F.struct(*by))
+    large = (df.groupBy(F.struct(by).alias("_g")).agg(F.count("*").alias("_rows"))
+             .where(F.col("_rows") > group_limit))
+    held = [r[0] for r in large.select("_g").limit(1).collect()]
     v = F.col(value) if value else F.lit(1)
-    within = (Window.partitionBy("_g", "_b").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ranged = ranged.withColumn("_in", F.coalesce(F.sum(v).over(within), F.lit(0)).cast("long"))
-
+    keyed = df.withColumn("_g", F.struct(by))
+    if not held:
+        return _windowed(keyed, ["_g"], order, v, out).drop("_g")
+    # At most rows / group_limit groups are large; the semi-join is left to Spark's size check.
+    small = _windowed(keyed.join(large, "_g", "left_anti"), ["_g"], order, v, out).drop("_g")
+    ranged = write_ranged(keyed.join(large, "_g", "left_semi"), order,
+                          folder or shared_dir(df.sparkSession, "buckets"))
+    inside = _windowed(ranged, ["_g", "_b"], order, v, "_in")
     earlier = Window.partitionBy("_kg").orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranged.groupBy(F.col("_g").alias("_kg"), F.col("_b").alias("_kb"))
                .agg(F.sum(v).alias("_bt"))
-               .withColumn("_off", F.coalesce(F.sum("_bt").over(earlier), F.lit(0)).cast("long"))
-               .drop("_bt"))
-    joined = ranged.join(offsets, (F.col("_g") == F.col("_kg")) & (F.col("_b") == F.col("_kb")))
-    return (joined.withColumn(out, F.col("_off") + F.col("_in"))
-            .drop("_g", "_b", "_in", "_off", "_kg", "_kb"))
+               .withColumn("_off", F.coalesce(F.sum("_bt").over(earlier), F.lit(0)).cast("long")))
+    joined = inside.join(offsets, (F.col("_g") == F.col("_kg")) & (F.col("_b") == F.col("_kb")))
+    spread = joined.withColumn(out, F.col("_off") + F.col("_in"))
+    return small.unionByName(spread.select(*small.columns))
+
+
+def _windowed(df: DataFrame, by: list[str], order: Sequence[Column], v: Column, out: str) -> DataFrame:
+    before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn(out, F.coalesce(F.sum(v).over(before), F.lit(0)).cast("long"))
+
+
+def write_ranged(keyed: DataFrame, order: Sequence[Column], folder: str) -> DataFrame:
+    """``keyed`` (with ``_g``) written in contiguous, ordered buckets ``_b`` and read back.
+
+    ``repartitionByRange`` samples the boundaries from the data; writing the bucket id
+    with the rows gives every later read, and every retry after a lost executor, the
+    same buckets.
+    """
+    spark = keyed.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (keyed.repartitionByRange(n, F.col("_g"), *order)
+     .withColumn("_b", F.spark_partition_id()).write.parquet(folder))
+    return spark.read.parquet(folder)
 
 
 def rank_within_user(lists: DataFrame, ties: Sequence[str], k: int | None = None,
-                     rank_col: str = "rn", user: str = USER,
-                     playcount: str = PLAYCOUNT) -> DataFrame:
+                     rank_col: str = "rn", user: str = USER, playcount: str = PLAYCOUNT,
+                     group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """Rank (long) of every row within its user, or of the first ``k`` only."""
     if k is not None:
         ranked = lists.withColumn(rank_col, F.row_number().over(user_window(ties, user, playcount)))
         return ranked.where(F.col(rank_col) <= k)
-    ranked = running_total(lists, [user], order_desc_then(playcount, ties), out="_before")
-    return (ranked.withColumn(rank_col, (F.col("_before") + 1).cast("int"))
-            .drop("_before"))
+    ranked = running_total(lists, user, order_desc_then(playcount, ties), out="_before",
+                           group_limit=group_limit)
+    return ranked.withColumn(rank_col, F.col("_before") + 1).drop("_before")

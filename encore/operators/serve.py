@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import mask_id
-from ..schema import STAT_MEAN, STAT_MEDIAN
+from ..schema import ARTIST, STAT_MEAN, STAT_MEDIAN, USER
 
 
 def ranked_page(result: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -21,17 +21,17 @@ def ranked_page(result: DataFrame, order: Sequence[Column], n: int) -> DataFrame
     return result.orderBy(*order).limit(n)
 
 
-def diversity_page(diversity: DataFrame, n: int = 20) -> DataFrame:
+def diversity_page(diversity: DataFrame, n: int = 20, item: str = ARTIST) -> DataFrame:
     """V2: the ``n`` artists with most users (then tracks), re-sorted by tracks."""
     page = ranked_page(diversity, [F.col("distinct_users").desc(), F.col("distinct_tracks").desc(),
-                                   F.col("artist_name").asc_nulls_first()], n)
+                                   F.col(item).asc_nulls_first()], n)
     return page.orderBy(F.col("distinct_tracks").desc(), F.col("distinct_users").desc(),
-                        F.col("artist_name").asc_nulls_first())
+                        F.col(item).asc_nulls_first())
 
 
-def top1_artist_view(same_top1: DataFrame) -> DataFrame:
+def top1_artist_view(same_top1: DataFrame, item: str = ARTIST) -> DataFrame:
     """V3: the #1-artist row with its column renamed to ``top1_artist``."""
-    return same_top1.select(F.col("artist_name").alias("top1_artist"), "users_count",
+    return same_top1.select(F.col(item).alias("top1_artist"), "users_count",
                             "percentage").limit(1)
 
 
@@ -53,9 +53,9 @@ def items_per_user_summary(parts: Mapping[str, tuple[DataFrame, DataFrame]]) ->
     return out
 
 
-def concentrated_users(single: DataFrame) -> DataFrame:
+def concentrated_users(single: DataFrame, user: str = USER) -> DataFrame:
     """V5a: single-artist users ordered by (main_artist, user)."""
-    return single.orderBy(F.col("main_artist").asc_nulls_first(), F.col("user_id").asc_nulls_first())
+    return single.orderBy(F.col("main_artist").asc_nulls_first(), F.col(user).asc_nulls_first())
 
 
 def concentrated_artists(single: DataFrame, n: int = 20) -> DataFrame:
@@ -69,19 +69,19 @@ def quality_total(quality: DataFrame) -> DataFrame:
     return quality.agg(F.coalesce(F.sum("affected_users"), F.lit(0)).cast("long").alias("total"))
 
 
-def outlier_sample(outliers: DataFrame, n: int = 10, keep: int = 6) -> DataFrame:
+def outlier_sample(outliers: DataFrame, n: int = 10, keep: int = 6, user: str = USER) -> DataFrame:
     """V7: ``n`` outliers by user id, ids masked, with the total population."""
     total = outliers.agg(F.count(F.lit(1))).scalar()
-    return (ranked_page(outliers, [F.col("user_id").asc_nulls_first()], n)
-            .select(mask_id(F.col("user_id"), keep).alias("user_id"), "items_count", "percentile",
+    return (ranked_page(outliers, [F.col(user).asc_nulls_first()], n)
+            .select(mask_id(F.col(user), keep).alias(user), "items_count", "percentile",
                     total.alias("total_population")))
 
 
-def low_coverage_sample(low: DataFrame, n: int = 10) -> DataFrame:
+def low_coverage_sample(low: DataFrame, n: int = 10, item: str = ARTIST) -> DataFrame:
     """V8: ``n`` least-mentioned artists with the total population."""
     total = low.agg(F.count(F.lit(1))).scalar()
-    return (ranked_page(low, [F.col("mentions").asc(), F.col("artist_name").asc_nulls_first()], n)
-            .select("artist_name", "mentions", total.alias("total_population")))
+    return (ranked_page(low, [F.col("mentions").asc(), F.col(item).asc_nulls_first()], n)
+            .select(item, "mentions", total.alias("total_population")))
 
 
 def combo_labels(top_lists: DataFrame, shown: int = 3) -> DataFrame:

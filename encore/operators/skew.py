@@ -57,11 +57,14 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str |
         small = small.withColumnRenamed(big_key, "_sk")
         small_key = "_sk"
     hot = hot if hot is not None else hot_keys(big, big_key, hot_share, partitions)
+    parts = partitions or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot.select(F.col(hot.columns[0]).alias("_hk"), "_salts"))
     row_hash = F.xxhash64(*[F.col(c) for c in (salt_by or big.columns)])
     big_s = (big.join(hot, F.col(big_key) == F.col("_hk"), "left")
-             .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                         .otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")))
+             # A NULL key matches nothing, so its rows may take any salt: all of them.
+             .withColumn("_salt", F.when(F.col(big_key).isNull(), F.pmod(row_hash, F.lit(parts)))
+                         .when(F.col("_salts").isNull(), F.lit(0))
+                         .otherwise(F.pmod(row_hash, F.col("_salts"))).cast("int"))
              .drop("_hk", "_salts"))
     small_s = (small.join(hot, F.col(small_key) == F.col("_hk"), "left")
                .withColumn("_salt2", F.explode(F.sequence(

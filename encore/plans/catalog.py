@@ -20,7 +20,8 @@ from ..operators import serve as sv
 from ..session import shared_dir
 from ..sources import fixtures as fx
 from ..sources import ingest
-from ..sources.sinks import write_csv
+from ..sources.sinks import ParquetStore, query_results, write_csv
+from . import suite
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -77,7 +78,8 @@ def _q_same_top1(t: Lists) -> DataFrame:
 
 @query("artist_mention_stats")
 def _q_mention_stats(t: Lists) -> DataFrame:
-    return pop.mention_stats(t.user_top_artists)
+    # Rounded for the comparison only: two engines add up in different orders.
+    return pop.mention_stats(t.user_top_artists).withColumn("value", F.round("value", 6))
 
 
 @query("long_tail_80")
@@ -141,7 +143,7 @@ def _q_pairs(t: Lists) -> DataFrame:
 
 @query("artist_triplets")
 def _q_triplets(t: Lists) -> DataFrame:
-    return co.artist_triplets(t.user_top_artists)
+    return co.artist_triplets(t.user_ranked_artists)
 
 
 @query("artist_track_overlap")
@@ -287,30 +289,118 @@ def _v_tail_share(t: Lists) -> DataFrame:
                           "tail_percentage")
 
 
-# --- ingest (S1–S7) ---------------------------------------------------------
+@query("pairs_null_user")
+def _q_pairs_null_user(t: Lists) -> DataFrame:
+    """M13 with a NULL user (every 50th) whose list goes through the heavy-user split."""
+    return co.top_combinations(_with_null_user(t.user_top_artists), 2, 50, max_set=100,
+                               budget=50_000, count_col="pair_count")
+
+
+@query("triplets_null_user")
+def _q_triplets_null_user(t: Lists) -> DataFrame:
+    """M14 over the ranked list with a NULL user, split above 20 items."""
+    ranked = _with_null_user(t.user_ranked_artists).where("rank <= 10")
+    return co.top_combinations(ranked, 3, 50, max_set=20, budget=50_000, count_col="triplet_count")
+
+
+def _with_null_user(lists: DataFrame) -> DataFrame:
+    return lists.withColumn("user_id", F.when(F.col("user_id") % 50 != 0, F.col("user_id")))
+
+
+# --- ingest, result store and suite runners (S1–S10, R1–R3) ------------------
 
 def _export_csvs(t: Lists, raw_dir: str) -> None:
-    """Write the driver-derived lists as the CSV exports the loader expects."""
-    write_csv(t.user_top_artists, f"{raw_dir}/user_top_artists.csv")
+    """The driver-derived lists as the CSV exports that the loader expects, with bad
+    rows: repeated rows, rows without a user, an extra field, text for a number."""
+    artists = t.user_ranked_artists
+    lines = artists.select(
+        F.col("user_id").alias("u"),
+        F.concat_ws(",", F.coalesce(F.col("user_id").cast("string"), F.lit("")), F.concat(
+            F.lit('"'), "artist_name", F.lit('"')), F.col("playcount").cast("string"),
+            F.col("rank").cast("string")).alias("value"))
+    bad = lines.where("u % 10 = 0").select("value")                        # repeated
+    bad = bad.unionByName(lines.where("u % 11 = 0").select(
+        F.regexp_replace("value", "^[0-9]+", "").alias("value")))           # no user
+    bad = bad.unionByName(lines.where("u % 12 = 0").select(
+        F.concat("value", F.lit(",extra")).alias("value")))                 # too many fields
+    bad = bad.unionByName(lines.where("u % 13 = 0").select(
+        F.regexp_replace("value", ",[0-9]+$", ",many").alias("value")))     # text for a number
+    # Written as one unquoted column whose name is the header line.
+    (lines.select("value").unionByName(bad).withColumnRenamed("value", "user_id,artist_name,playcount,rank")
+     .write.option("header", True).option("sep", "\u0001").option("quote", "").option("escapeQuotes", False)
+     .csv(f"{raw_dir}/user_top_artists.csv"))
     write_csv(t.user_top_tracks, f"{raw_dir}/user_top_tracks.csv")
     write_csv(t.user_top_albums, f"{raw_dir}/user_top_albums.csv")
-    write_csv(t.tables["customer"].select(F.col("c_custkey").alias("user_id"), "c_name",
-                                          "c_mktsegment"), f"{raw_dir}/users.csv")
+    write_csv(t.tables["customer"].select(F.col("c_custkey").alias("user_id"), "c_name", "c_nationkey"),
+              f"{raw_dir}/users.csv")
 
 
-def _ingest(t: Lists) -> tuple[DataFrame, str]:
+def _ingest(t: Lists, infer: bool = False) -> tuple[DataFrame, str]:
     base = shared_dir(t.tables.spark, "ingest")
     _export_csvs(t, f"{base}/raw")
-    report = ingest.run_loader(t.tables.spark, f"{base}/raw", f"{base}/parquet", f"{base}/backup")
-    return report, f"{base}/parquet"
+    report = ingest.run_loader(t.tables.spark, f"{base}/raw", f"{base}/parquet", f"{base}/backup",
+                               infer=infer)
+    return report, base
 
 
 @query("ingest_report")
 def _i_report(t: Lists) -> DataFrame:
-    return _ingest(t)[0]
+    return _ingest(t)[0].select("file", "original_rows", "malformed_rows", "cleaned_rows",
+                                "final_rows", "success")
 
 
 @query("ingest_clean")
 def _i_clean(t: Lists) -> DataFrame:
-    _, parquet = _ingest(t)
-    return t.tables.spark.read.parquet(f"{parquet}/user_top_artists")
+    return t.tables.spark.read.parquet(f"{_ingest(t)[1]}/parquet/user_top_artists")
+
+
+@query("ingest_backup")
+def _i_backup(t: Lists) -> DataFrame:
+    """The raw backup: well-formed rows before cleaning, as text columns."""
+    return (t.tables.spark.read.option("header", True)
+            .csv(f"{_ingest(t)[1]}/backup/user_top_artists_backup"))
+
+
+@query("ingest_users_inferred")
+def _i_users(t: Lists) -> DataFrame:
+    """The users export with its further columns typed by inference."""
+    return t.tables.spark.read.parquet(f"{_ingest(t, infer=True)[1]}/parquet/users")
+
+
+def _suite_lists(t: Lists) -> dict[str, DataFrame]:
+    """The suite's inputs, written once: every result reads them again."""
+    base = shared_dir(t.tables.spark, "suite-lists")
+    made = {"artists": t.user_ranked_artists, "tracks": t.user_top_tracks, "albums": t.user_top_albums}
+    for name, df in made.items():
+        df.write.parquet(f"{base}/{name}")
+    return {n: t.tables.spark.read.parquet(f"{base}/{n}") for n in made}
+
+
+def _store(t: Lists) -> ParquetStore:
+    return ParquetStore(shared_dir(t.tables.spark, "results"))
+
+
+@query("suite_full")
+def _r_full(t: Lists) -> DataFrame:
+    return suite.run_suite(t.tables.spark, _suite_lists(t), _store(t))
+
+
+@query("suite_counts")
+def _r_counts(t: Lists) -> DataFrame:
+    return suite.run_counts_suite(t.tables.spark, _suite_lists(t), _store(t))
+
+
+@query("suite_compare")
+def _r_compare(t: Lists) -> DataFrame:
+    return suite.run_compare_suite(t.tables.spark, _suite_lists(t), _store(t))
+
+
+@query("store_sql")
+def _s_store_sql(t: Lists) -> DataFrame:
+    """SQL over two results read back from a Parquet store."""
+    store = _store(t)
+    suite.run_suite(t.tables.spark, _suite_lists(t), store, only=["top_20_artists", "artists_diversity"])
+    return query_results(t.tables.spark, store, """
+        SELECT a.artist_name, a.users_count, d.distinct_tracks
+        FROM top_20_artists a JOIN artists_diversity d ON a.artist_name = d.artist_name""",
+                         ["top_20_artists", "artists_diversity"])

@@ -101,7 +101,7 @@ _MENTIONS = ("mentions", """
 SELECT artist_name, count(*) AS mentions FROM user_top_artists GROUP BY artist_name""")
 
 ORACLE["artist_mention_stats"] = with_fixtures("""
-SELECT 'mean' AS metric, CAST(avg(mentions) AS DOUBLE) AS value FROM mentions
+SELECT 'mean' AS metric, round(CAST(avg(mentions) AS DOUBLE), 6) AS value FROM mentions
 UNION ALL
 SELECT 'median', CAST(quantile_disc(mentions, 0.5) AS DOUBLE) FROM mentions
 UNION ALL
@@ -388,11 +388,107 @@ SELECT 'artists_in_tail' AS label, CAST(tail_percentage AS DOUBLE) AS share,
        100.0E0 - tail_percentage AS remainder
 FROM {_of("long_tail_80")}"""
 
-# --- ingest (S1–S7) ---------------------------------------------------------
+_NULL_USER = ("nu", """
+SELECT CASE WHEN user_id % 50 <> 0 THEN user_id END AS user_id, artist_name, rank FROM user_top_artists""")
+
+ORACLE["pairs_null_user"] = with_fixtures("""
+SELECT a.artist_name AS artist1, b.artist_name AS artist2, count(*) AS pair_count
+FROM ui a JOIN ui b
+  ON a.user_id IS NOT DISTINCT FROM b.user_id AND a.artist_name < b.artist_name
+GROUP BY 1, 2 ORDER BY pair_count DESC, artist1, artist2 LIMIT 50""", "user_top_artists",
+                                          ctes=(_NULL_USER, ("ui", "SELECT DISTINCT user_id, artist_name FROM nu")))
+
+ORACLE["triplets_null_user"] = with_fixtures("""
+SELECT a.artist_name AS artist1, b.artist_name AS artist2, c.artist_name AS artist3, count(*) AS triplet_count
+FROM ui a
+JOIN ui b ON a.user_id IS NOT DISTINCT FROM b.user_id AND a.artist_name < b.artist_name
+JOIN ui c ON b.user_id IS NOT DISTINCT FROM c.user_id AND b.artist_name < c.artist_name
+GROUP BY 1, 2, 3 ORDER BY triplet_count DESC, artist1, artist2, artist3 LIMIT 50""", "user_top_artists",
+                                             ctes=(_NULL_USER, ("ui", """
+SELECT DISTINCT user_id, artist_name FROM nu WHERE rank <= 10""")))
+
+# --- ingest, result store and suite runners (S1–S10, R1–R3) ------------------
+
+# Rows of the export of user_top_artists: good rows, repeated ones, rows without a user;
+# those with an extra field or text for a number are malformed.
+_EXPORT = ("good", """
+SELECT CAST(user_id AS VARCHAR) AS user_id, artist_name, playcount, rank FROM user_top_artists
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), artist_name, playcount, rank FROM user_top_artists WHERE user_id % 10 = 0
+UNION ALL
+SELECT NULL, artist_name, playcount, rank FROM user_top_artists WHERE user_id % 11 = 0""")
 
 ORACLE["ingest_clean"] = with_fixtures("""
-SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, artist_name, playcount, rank
-FROM user_top_artists WHERE user_id IS NOT NULL""", "user_top_artists")
+SELECT DISTINCT user_id, artist_name, playcount, rank FROM good WHERE user_id IS NOT NULL""",
+                                       "user_top_artists", ctes=(_EXPORT,))
+
+ORACLE["ingest_backup"] = with_fixtures("""
+SELECT user_id, artist_name, CAST(playcount AS VARCHAR) AS playcount, CAST(rank AS VARCHAR) AS rank
+FROM good""", "user_top_artists", ctes=(_EXPORT,))
+
+ORACLE["ingest_report"] = with_fixtures("""
+SELECT 'user_top_artists.csv' AS file, (SELECT count(*) FROM good) AS original_rows,
+       (SELECT count(*) FROM user_top_artists WHERE user_id % 12 = 0)
+         + (SELECT count(*) FROM user_top_artists WHERE user_id % 13 = 0) AS malformed_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM good WHERE user_id IS NOT NULL) g) AS cleaned_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM good WHERE user_id IS NOT NULL) g) AS final_rows,
+       TRUE AS success
+UNION ALL
+SELECT 'user_top_tracks.csv', n, 0, n, n, TRUE FROM (SELECT count(*) AS n FROM user_top_tracks) t
+UNION ALL
+SELECT 'user_top_albums.csv', n, 0, n, n, TRUE FROM (SELECT count(*) AS n FROM user_top_albums) b
+UNION ALL
+SELECT 'users.csv', n, 0, n, n, TRUE FROM (SELECT count(*) AS n FROM customer) c""",
+                                        "user_top_artists", "user_top_tracks", "user_top_albums",
+                                        ctes=(_EXPORT,))
+
+ORACLE["ingest_users_inferred"] = """
+SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS user_id, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey
+FROM customer"""
+
+
+def _on_list(key: str, fixture: str, made: str) -> str:
+    """The metric of ``key`` over the plain list ``made`` instead of its own fixture."""
+    return ORACLE[key].replace(f"{fixture} AS ({FIXTURE_SQL[fixture]}", f"{made} AS ({FIXTURE_SQL[made]}"
+                               ).replace(fixture, made)
+
+
+_TRACKS, _ARTISTS = "user_top_tracks", "user_top_artists"
+SUITE_SQL = {
+    "popularity": {"top_20_artists": ORACLE["top_artists"], "top_20_tracks": ORACLE["top_tracks"],
+                   "top_20_albums": ORACLE["top_albums"], "same_top1_artist": ORACLE["same_top1_artist"],
+                   "artist_mention_stats": ORACLE["artist_mention_stats"], "long_tail_80": ORACLE["long_tail_80"]},
+    "quality": {"data_quality": ORACLE["data_quality_clean"], "outlier_users": ORACLE["outlier_users"],
+                "low_coverage_artists": _on_list("low_coverage_artists", "user_fine_items", _ARTISTS)},
+    "cooccurrence": {"top_50_artist_pairs": ORACLE["artist_pairs"], "top_50_artist_triplets": ORACLE["artist_triplets"],
+                     "artist_track_overlap": ORACLE["artist_track_overlap"],
+                     "artist_average_position": ORACLE["artist_average_position"],
+                     "top1_in_global_top5_frequency": ORACLE["top1_in_global_top5"],
+                     "position_stability_users": "SELECT 1"},
+    "counts": {**{f"user_{k}_{w}": ORACLE[f"user_{k}_{w}"] for k in ("artist", "track", "album")
+                  for w in ("counts", "stats")},
+               "unique_items": ORACLE["unique_items"],
+               "users_same_top3_from_top10": _on_list("identical_top_lists", "user_top_types", _TRACKS),
+               "users_top5_single_artist": _on_list("single_artist_top5", "user_tracks_by_region", _TRACKS)},
+    "compare": {"top_artists_active_users": ORACLE["active_user_artists"],
+                "cross_popularity_artists": ORACLE["cross_popularity"], "artists_diversity": ORACLE["artist_diversity"]},
+}
+
+
+def _suite_rows(*groups: str) -> str:
+    """(result, rows): each result with the number of rows that its SQL returns."""
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS result, (SELECT count(*) FROM ({sql}\n) m) AS rows"
+                                for g in groups for name, sql in SUITE_SQL[g].items())
+
+
+ORACLE["suite_full"] = _suite_rows(*SUITE_SQL)
+ORACLE["suite_counts"] = _suite_rows("counts")
+ORACLE["suite_compare"] = _suite_rows("compare")
+ORACLE["store_sql"] = f"""
+SELECT a.artist_name, a.users_count, d.distinct_tracks
+FROM ({ORACLE["top_artists"]}
+) a JOIN ({ORACLE["artist_diversity"]}
+) d ON a.artist_name = d.artist_name"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# --- Fixed values: these must equal the reference's -------------------------
+# Input columns and the schemas of the CSV exports.
 USER = "user_id"
 ARTIST = "artist_name"
 TRACK = "track_name"
@@ -39,7 +41,6 @@ USERS = T.StructType([
     T.StructField(USER, T.StringType()),
 ])
 
-# --- Fixed values: these must equal the reference's -------------------------
 # Expected CSV exports (without ".csv"), in the reference's order.
 EXPECTED_DATASETS = ("user_top_albums", "user_top_artists", "user_top_tracks", "users")
 # Names of the result tables the suite writes, in the reference's run order.
@@ -69,3 +70,6 @@ DATASETS = {
     "user_top_tracks": USER_TOP_TRACKS,
     "users": USERS,
 }
+
+# Columns that a row of a dataset must have; rows without them are dropped.
+REQUIRED = {name: (USER,) for name in DATASETS if name != "users"}

@@ -2,14 +2,13 @@
 
 Library functions never create or configure a session: the caller's session
 (and its cluster settings) is used as-is. ``local_session`` exists for tests,
-the benchmark and ``__spark_entry__``; ``shared_dir`` resolves the folder that
-the cluster names in ``spark.checkpoint.dir``.
+the benchmark and the tools; ``shared_dir`` makes folders under the one that the
+cluster names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,39 +34,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The session's shared folder for intermediate tables.
 
-    On a cluster it is set and only read; a cluster session without it is an
-    error, since a machine-local folder is not shared by the executors. Only a
-    ``local[...]`` session (tests, local runs) gets a local folder created and
-    registered when it is unset.
+    The cluster names it in ``spark.checkpoint.dir``, which is only read. Where it is
+    unset (tests, local runs) the folder lies under the session's own warehouse
+    location, which the executors share by Spark's contract; never a temporary folder
+    of one machine.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not (spark.conf.get("spark.master", "") or "").startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-            base = tempfile.mkdtemp(prefix="encore-ckpt-")
-        return base
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="encore-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
-    return sc.getCheckpointDir() or base
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    return base.rstrip("/")
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder.
-
-    The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
-    from the session. Only when it is unset (tests, local runs) is a local
-    folder created and registered as the checkpoint folder.
-    """
-    base = ensure_checkpoint_dir(spark)
+    """A fresh folder under the session's shared folder."""
     name = "-".join(parts) if parts else "work"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``shared_dir``, by the session's own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -68,11 +68,17 @@ def _aggregate_list(p: DataFrame, keys: list[str], ties: list[str],
                     with_rank: bool) -> DataFrame:
     agg = p.groupBy("user_id", *keys).agg(F.sum("qty").cast("long").alias("playcount"))
     if with_rank:
-        agg = rank_within_user(agg, ties, rank_col="rank")
+        agg = rank_within_user(agg, ties, rank_col="rank").withColumn("rank", F.col("rank").cast("int"))
     return agg
 
 
 def user_top_artists(t: DriverTables, p: DataFrame | None = None) -> DataFrame:
+    p = p if p is not None else plays(t)
+    return _aggregate_list(p, ["artist_name"], ["artist_name"], False)
+
+
+def user_ranked_artists(t: DriverTables, p: DataFrame | None = None) -> DataFrame:
+    """``user_top_artists`` with each row's ``rank``, for what reads it."""
     p = p if p is not None else plays(t)
     return _aggregate_list(p, ["artist_name"], ["artist_name"], True)
 

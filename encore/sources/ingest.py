@@ -11,16 +11,16 @@ writes themselves, so no extra counting jobs re-read the CSV.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import DATASETS, EXPECTED_DATASETS, USER
-from ..session import shared_dir
-from .sinks import validate_parquet, write_csv, write_parquet
+from ..schema import DATASETS, EXPECTED_DATASETS, REQUIRED
+from ..session import remove_folder, shared_dir
+from .sinks import read_back, write_csv, write_parquet
 
 CORRUPT = "_corrupt_record"
 
@@ -38,23 +38,25 @@ REPORT_SCHEMA = T.StructType([
 ])
 
 
-def header_schema(spark: SparkSession, path: str, known: T.StructType) -> T.StructType:
-    """The file's header columns, in file order, typed from ``known`` (string
-    otherwise). Reading only the header does not scan the file."""
-    names = spark.read.option("header", True).csv(path).columns
-    by_name = {f.name.lower(): f for f in known.fields}
-    return T.StructType([
-        T.StructField(n, by_name[n.lower()].dataType if n.lower() in by_name else T.StringType())
-        for n in names
-    ])
+def header_schema(spark: SparkSession, path: str, known: T.StructType,
+                  infer: bool = False) -> T.StructType:
+    """The file's header columns, in file order, typed from ``known``. Other columns are
+    strings, or with ``infer`` what Spark infers from their values (one more scan of
+    the file); without it only the header is read."""
+    found = spark.read.option("header", True).option("inferSchema", infer).csv(path).schema
+    by_name = {f.name.lower(): f.dataType for f in known.fields}
+    return T.StructType([T.StructField(f.name, by_name.get(f.name.lower(), f.dataType))
+                         for f in found.fields])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S1: parse with header and explicit schema; malformed rows keep their raw
-    text in ``_corrupt_record`` (NULL for good rows)."""
+    text in ``_corrupt_record`` (NULL for good rows). The header of every part file
+    must name the schema's columns in order, else reading fails."""
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     return (spark.read.schema(full)
             .option("header", True)
+            .option("enforceSchema", False)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .csv(path))
@@ -64,14 +66,9 @@ def drop_malformed(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def clean_dataset(df: DataFrame, name: str, user: str = USER) -> DataFrame:
-    """S2 + S3: whole-row dedup; for per-user lists ("user…top…" names) also
-    drop rows without a user."""
-    out = df.dropDuplicates()
-    lowered = name.lower()
-    if "user" in lowered and "top" in lowered and user in out.columns:
-        out = out.where(F.col(user).isNotNull())
-    return out
+def clean_dataset(df: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """S3 + S2: drop rows that lack a ``required`` column's value, then repeated rows."""
+    return df.dropna(subset=list(required)).dropDuplicates() if required else df.dropDuplicates()
 
 
 def file_size_mb(spark: SparkSession, path: str) -> float:
@@ -81,13 +78,14 @@ def file_size_mb(spark: SparkSession, path: str) -> float:
 
 
 def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path: str,
-                   backup_path: str, known: T.StructType) -> dict:
+                   backup_path: str, known: T.StructType, required: Sequence[str] = (),
+                   infer: bool = False) -> dict:
     report = {"file": f"{name}.csv", "size_mb": None, "parquet_path": parquet_path,
               "raw_backup_path": backup_path, "original_rows": None, "malformed_rows": None,
               "cleaned_rows": None, "final_rows": None, "success": False, "error": None}
     try:
         report["size_mb"] = file_size_mb(spark, csv_path)
-        schema = header_schema(spark, csv_path, known)
+        schema = header_schema(spark, csv_path, known, infer)
 
         # The CSV is parsed once, into a Parquet staging table in the shared
         # folder; the backup and the clean table are both written from it.
@@ -103,16 +101,15 @@ def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path:
         write_csv(good, backup_path)                         # S4, before cleaning
 
         clean_obs = Observation(f"clean_{name}")
-        cleaned = clean_dataset(good, name)
+        cleaned = clean_dataset(good, required)
         write_parquet(cleaned.observe(clean_obs, F.count(F.lit(1)).alias("rows")), parquet_path)
         report["cleaned_rows"] = int(clean_obs.get["rows"])
 
-        ok, result = validate_parquet(spark, parquet_path)   # S6
-        if ok:
-            report["final_rows"] = int(result)
-            report["success"] = True
-        else:
-            report["error"] = str(result)
+        report["final_rows"], report["error"] = read_back(   # S6
+            spark, parquet_path, report["cleaned_rows"])
+        report["success"] = report["error"] is None
+        if report["success"]:
+            remove_folder(spark, staging)
     except Exception as exc:  # noqa: BLE001 - one failing dataset must not stop the rest
         report["error"] = str(exc)
     return report
@@ -127,7 +124,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_loader(spark: SparkSession, raw_dir: str, parquet_dir: str, backup_dir: str,
-               datasets: Mapping[str, T.StructType] = DATASETS) -> DataFrame:
+               datasets: Mapping[str, T.StructType] = DATASETS,
+               required: Mapping[str, Sequence[str]] = REQUIRED, infer: bool = False) -> DataFrame:
     """S7: ingest every expected dataset present under ``raw_dir``.
 
     Returns the load report (one row per dataset found). Raises when no
@@ -141,7 +139,7 @@ def run_loader(spark: SparkSession, raw_dir: str, parquet_dir: str, backup_dir:
     if not present:
         raise FileNotFoundError(f"no expected CSV file under {raw_dir}: {sorted(datasets)}")
     rows = [ingest_dataset(spark, n, f"{raw_dir}/{n}.csv", f"{parquet_dir}/{n}",
-                           f"{backup_dir}/{n}_backup", datasets[n])
+                           f"{backup_dir}/{n}_backup", datasets[n], required.get(n, ()), infer)
             for n in present]
     return spark.createDataFrame([tuple(r[f.name] for f in REPORT_SCHEMA.fields) for r in rows],
                                  REPORT_SCHEMA)

@@ -207,3 +207,28 @@ def test_candidate_rows_split_hot_items_exactly(spark, artists):
     got = co._candidate_rows(ui, ids, tau, "user_id", "artist_name", hot_items=8)
     want = ui.join(ids.where(F.col("_deg") >= tau), "artist_name").select("user_id", "_id")
     assert sorted(rows(got), key=repr) == sorted(rows(want), key=repr)
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_null_user_is_split_like_any_other(spark, artists, size):
+    """The NULL user holds most rows and is above the limit; its rows are tagged heavy
+    and its combinations counted once."""
+    from pyspark.sql import functions as F
+    from encore.operators.skew import salted_join
+    data = [(None, f"a{i:02d}", 1, i + 1) for i in range(15)]
+    data += [(f"u{u}", f"a{i:02d}", 1, i + 1) for u in range(6) for i in range(u + 2)]
+    out = co.top_combinations(artists(data), size, 60, max_set=4, budget=10, count_col="n")
+    assert rows(out) == brute_force(data, size, 60)
+    ui = artists(data).select(F.struct("user_id").alias("_user"), "artist_name")
+    heavy = ui.groupBy("_user").agg(F.count("*").alias("_n")).where("_n > 10")
+    tagged = salted_join(ui, heavy, "_user", how="left", hot_share=4)
+    assert tagged.where("_n is not null and _user.user_id is null").count() == 15
+
+
+def test_average_position_over_range_buckets_matches_the_window(artists):
+    rnd = random.Random(5)
+    data = [(u, f"a{rnd.randrange(40):02d}", rnd.randrange(5), 1)
+            for u in ["hot"] * 300 + [None] * 60 + ["x", "y"] * 20]
+    plain = sorted(rows(co.average_position(artists(data))), key=repr)
+    split = sorted(rows(co.average_position(artists(data), group_limit=50)), key=repr)
+    assert split == plain

