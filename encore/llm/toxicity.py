@@ -191,8 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_units: i
                 docs_seen[y > 0] += 1
                 tokens += 0 if y > 0 else len(found)
         names = list(seen[0].keys() | seen[1].keys())
-        yield pd.DataFrame({"unit": names, "toxic": [seen[1][u] for u in names], "other": [seen[0][u] for u in names]})
-        yield pd.DataFrame({"unit": [None], "toxic": [docs_seen[1]], "other": [docs_seen[0]]})
+        yield pd.DataFrame({"unit": pd.Series(names, dtype=object), "toxic": [seen[1][u] for u in names], "other": [seen[0][u] for u in names]})
+        yield pd.DataFrame({"unit": pd.Series([None], dtype=object), "toxic": [docs_seen[1]], "other": [docs_seen[0]]})
 
     counts = (rows.where("part < 4").select("text", "y")
               .mapInPandas(count, "unit string, toxic long, other long")
