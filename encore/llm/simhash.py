@@ -209,7 +209,8 @@ def links(fps: DataFrame, radius: int = 4, blocks: int = 6, shard_size: int = 2_
             for i, j in zip(starts.tolist(), stops.tolist(), strict=True):
                 if j - i > 2:
                     tree, block = fp[i:j][asks[i:j] == 0], fp[i:j][asks[i:j] == 1]
-                    found += _shard_links(tree, block if len(block) else tree, radius)
+                    if len(tree):  # a split may have no fingerprint
+                        found += _shard_links(tree, block if len(block) else tree, radius)
             got = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
             yield pd.DataFrame({"a": np.concatenate([a[0], got[:, 0]]), "b": np.concatenate([b[0], got[:, 1]])})
 
