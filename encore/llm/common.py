@@ -60,16 +60,17 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str,
-                hot_share: int = 1024) -> DataFrame:
+                hot_share: int = 1024, keep_weight: bool = False) -> DataFrame:
     """``big`` left-joined (NULL-safe) with ``small``, which holds each key once.
 
     ``small[weight]`` says how many rows of ``big`` (or an upper bound in
     proportion) hold the key. Keys with at least 1/``hot_share`` of the summed
     weight are at most ``hot_share`` and are broadcast; rows of ``big`` that
     match one never reach the shuffle, so no shuffle task holds a hot key. All
-    other rows take an ordinary shuffled join. ``weight`` is not returned.
+    other rows take an ordinary shuffled join. ``weight`` is returned only with
+    ``keep_weight``.
     """
-    values = [c for c in small.columns if c not in keys and c != weight]
+    values = [c for c in small.columns if c not in keys and (keep_weight or c != weight)]
     total = small.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) * F.lit(hot_share) >= total
     hot = small.where(is_hot).select(

@@ -198,7 +198,7 @@ def repeated_starts(docs: DataFrame, length: int = 400, width: int = 128, group_
                     ["key", "ext"], "c").where("again").select("h", "n", "first", "last"))
     # A tuple whose runs are all settled needs no comparison.
     open_ = names.groupBy("key").agg(F.count(F.lit(1)).alias("variants"), F.min("c").alias("least")).where("least = 1")
-    asked = (names.join(open_, "key").select(
+    asked = (lookup_join(names, open_, ["key"], "variants", keep_weight=True).where("least = 1").select(
         "run.*", "key", (F.col("c") == 1).alias("single"), (F.col("variants") > group_limit).alias("hot")))
     beside = _with_texts(asked, texts, length, broadcast_rows)
     n = shuffle_parts(docs.sparkSession)
@@ -242,34 +242,43 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", out:
     """``docs`` with ``out``: struct of n_bytes, spans (removed byte ranges) and kept
     (the remaining bytes)."""
     starts = repeated_starts(docs, length, text=text, broadcast_rows=broadcast_rows, **options)
-    ranges = stored(starts.groupBy("h", "n").agg(F.sort_array(F.collect_list(F.struct("first", "last")))
-                                                 .alias("_ranges")), "suffix-ranges")
+    kind = "array<struct<start:long,end:long>>"
+
+    @F.pandas_udf(kind)
+    def merged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in batches:
+            yield pd.Series([[{"start": a, "end": b} for a, b in _merged([(r["first"], r["last"]) for r in rs], length)]
+                             for rs in part], dtype=object)
+
+    # A text's many ranges become a few spans before they meet the texts.
+    spans = stored(starts.groupBy("h", "n").agg(F.collect_list(F.struct("first", "last")).alias("r"))
+                   .select("h", "n", merged("r").alias("spans")), "suffix-spans")
     t = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.withColumns({"_h": F.xxhash64(t), "_n": F.octet_length(t).cast("int")})
-    ranges = ranges.select(F.col("h").alias("_h"), F.col("n").alias("_n"), "_ranges")
-    size = ranges.agg(F.count(F.lit(1)), F.sum(F.size("_ranges"))).first()
+    spans = spans.select(F.col("h").alias("_h"), F.col("n").alias("_n"), F.col("spans").alias("_spans"))
+    size = spans.agg(F.count(F.lit(1)), F.sum(F.size("_spans"))).first()
     if size[0] <= broadcast_rows and (size[1] or 0) <= 4 * broadcast_rows:
-        joined = keyed.join(F.broadcast(ranges), ["_h", "_n"], "left")
+        joined = keyed.join(F.broadcast(spans), ["_h", "_n"], "left")
     else:
         copies = keyed.groupBy("_h", "_n").agg(F.count(F.lit(1)).alias("_copies"))
-        joined = lookup_join(keyed, ranges.join(copies, ["_h", "_n"]), ["_h", "_n"], "_copies")
+        joined = lookup_join(keyed, spans.join(copies, ["_h", "_n"]), ["_h", "_n"], "_copies")
 
-    @F.pandas_udf("struct<n_bytes:long,spans:array<struct<start:long,end:long>>,kept:binary>")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("binary")
+    def kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for part, found in batches:
-            rows = []
-            for t, ranges in zip(part, found, strict=True):
-                data = t.encode("utf-8") if t else b""
-                spans = [] if ranges is None else _merged([(r["first"], r["last"]) for r in ranges], length)
-                at, kept = 0, []
-                for a, b in spans:
-                    kept.append(data[at:a])
-                    at = b
-                kept.append(data[at:])
-                rows.append((len(data), [{"start": a, "end": b} for a, b in spans], b"".join(kept)))
-            yield pd.DataFrame(rows, columns=["n_bytes", "spans", "kept"])
-
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], cut(F.col(text), F.col("_ranges")).alias(out))
+            out = []
+            for t, gone in zip(part, found, strict=True):
+                data, at, pieces = t.encode("utf-8") if t else b"", 0, []
+                for r in [] if gone is None else gone:
+                    pieces.append(data[at:r["start"]])
+                    at = r["end"]
+                out.append(b"".join([*pieces, data[at:]]))
+            yield pd.Series(out, dtype=object)
+
+    made = F.struct(F.col("_n").cast("long").alias("n_bytes"),
+                    F.coalesce("_spans", F.array().cast(kind)).alias("spans"),
+                    kept(F.col(text), F.col("_spans")).alias("kept"))
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], made.alias(out))
 
 
 def suffix_query(docs: DataFrame) -> DataFrame:
