@@ -48,10 +48,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by its kind in brackets."""
     found = _pii.find_spans(docs, out="_spans")
-    clean = _pii.redact(F.col("text"), F.col("_spans"))
-    return found.select(*[
-        clean.alias("text") if c == "text" else F.length(clean).cast(docs.schema[c].dataType).alias(c)
-        if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    clean = found.withColumn("_clean", _pii.redact(F.col("text"), F.col("_spans")))
+    new = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
+    return clean.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`")
+                          for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
