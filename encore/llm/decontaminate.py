@@ -10,7 +10,8 @@ is contaminated if a stretch of ``window`` places (the whole item if it is short
 agrees in at least ``similarity`` of its words: substitutions are tolerated wherever
 they fall. The three masks hit every stretch of 10 to 15 places with up to a fifth of
 the words replaced, whichever these are (all patterns were enumerated); items of fewer
-than ``MASKED`` words are sought by pairs of adjacent words (one word by itself).
+than ``MASKED`` words are sought by the run of adjacent words that must survive in them
+(``SHORT``), which documents are only searched for when such items exist.
 
 DataFrame expressions only. The benchmark's seeds are broadcast when there are at
 most ``broadcast_rows`` of them, else joined by a shuffle in which seeds that many
@@ -35,7 +36,8 @@ from .common import let, lookup_join, stored
 # Places of a window that a seed fixes, and the fewest words of an item that they suit.
 MASKS = ((0, 1, 2, 3, 5), (0, 1, 5, 7, 8), (0, 2, 3, 6, 7))
 MASKED = 10
-SHORT = ((0, 1), (0,))
+# Fewest and most words of a short item, and the run that a fifth of other words leaves.
+SHORT = ((1, 1, (0,)), (2, 5, (0, 1)), (6, 7, (0, 1, 2)), (8, 9, (0, 1, 2, 3)))
 
 
 def tokens(text: Column) -> Column:
@@ -57,14 +59,14 @@ def seeds(w: Column, masks) -> Column:
 
 def benchmark_seeds(items: DataFrame, masks=MASKS) -> DataFrame:
     """(seed, item, place, short) of ``items`` (item, w)."""
-    def made(rows: DataFrame, of, short: bool) -> DataFrame:
+    def made(rows: DataFrame, of, short: int) -> DataFrame:
         return (rows.select("item", F.explode(seeds(F.col("w"), of)).alias("_s"))
                 .select("item", F.posexplode("_s").alias("place", "seed"), F.lit(short).alias("short")))
 
-    size = F.size("w")
-    return (made(items.where(size >= MASKED), masks, False)
-            .unionByName(made(items.where((size > 1) & (size < MASKED)), SHORT[:1], True))
-            .unionByName(made(items.where(size == 1), SHORT[1:], True)))
+    out = made(items.where(F.size("w") >= MASKED), masks, -1)
+    for k, (low, high, run) in enumerate(SHORT):
+        out = out.unionByName(made(items.where(F.size("w").between(low, high)), (run,), k))
+    return out
 
 
 def overlap(doc: Column, item: Column, diagonal: Column, window: int) -> Column:
@@ -90,7 +92,8 @@ def overlap(doc: Column, item: Column, diagonal: Column, window: int) -> Column:
 
 def hits(docs: DataFrame, places: DataFrame, masks=MASKS, broadcast_rows: int = 500_000) -> DataFrame:
     """(key, item, diagonal), distinct; ``docs`` as (key, w), ``places`` as ``benchmark_seeds``."""
-    lists = seeds(F.col("w"), (*masks, *SHORT) if places.where("short").head(1) else masks)
+    used = sorted(r[0] for r in places.select("short").distinct().collect())  # at most five values
+    lists = seeds(F.col("w"), [m for k in used for m in (masks if k < 0 else [SHORT[k][2]])] or masks)
     windows = docs.select("key", F.explode(lists).alias("_s")).select(
         "key", F.posexplode("_s").alias("at", "seed"))
     if places.count() <= broadcast_rows:
