@@ -6,10 +6,11 @@ documents of a host hold is boilerplate there; its words are taken off each
 document, and a document that keeps less than ``min_left`` of its words is
 rejected as depleted, as is one that fails the base rules.
 
-Distinct documents: near copies of one document are not independent evidence
-that a line is boilerplate, so documents count once per value of the smallest
-hash among their *other* lines (the text's own hash if there is none). Exact
-copies therefore count once, and copies with a few edits nearly always do.
+Distinct documents are distinct texts: exact copies count once, texts that differ
+anywhere count each, however many lines they share.
+
+``ORACLE_SQL`` counts otherwise: documents once per value of the smallest hash among
+their other lines. The two differ where pages share boilerplate lines.
 
 DataFrame expressions only. Counts are aggregated before they are shuffled; the
 frequent lines meet the documents' lines in ``lookup_join``, which broadcasts at
@@ -94,20 +95,15 @@ def text_features(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def document_lines(features: DataFrame) -> DataFrame:
-    """(host, _text, pos, h, n, _doc): a row per non-blank line; ``_doc`` is the
-    identity under which the document counts for this line."""
-    least = F.slice(F.sort_array(F.array_distinct(F.transform("lines", lambda x: x["h"]))), 1, 2)
-    rows = (features.where(F.size("lines") > 0)
-            .select("host", "_text", least.alias("_least"), F.posexplode("lines").alias("pos", "_line"))
-            .select("host", "_text", "pos", F.col("_line.h").alias("h"), F.col("_line.n").alias("n"), "_least"))
-    other = F.when(F.get("_least", F.lit(0)) == F.col("h"),
-                   F.coalesce(F.get("_least", F.lit(1)), F.col("_text"))).otherwise(F.get("_least", F.lit(0)))
-    return rows.select("host", "_text", "pos", "h", "n", other.alias("_doc"))
+    """(host, _text, pos, h, n): a row per non-blank line."""
+    return (features.where(F.size("lines") > 0)
+            .select("host", "_text", F.posexplode("lines").alias("pos", "_line"))
+            .select("host", "_text", "pos", F.col("_line.h").alias("h"), F.col("_line.n").alias("n")))
 
 
 def frequent_lines(lines: DataFrame, max_docs: int = 50) -> DataFrame:
     """(host, h, n_docs, n_rows) of the lines above the limit."""
-    return (lines.groupBy("host", "h", "_doc").agg(F.count(F.lit(1)).alias("_c"))
+    return (lines.groupBy("host", "h", "_text").agg(F.count(F.lit(1)).alias("_c"))
             .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("_c").alias("n_rows"))
             .where(F.col("n_docs") > max_docs))
 
@@ -119,7 +115,7 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     features = stored(text_features(docs, doc_id, text, host), "line-features")
     lines = document_lines(features)
     frequent = stored(frequent_lines(lines, max_docs), "frequent-lines")
-    hits = (lookup_join(lines.drop("_doc"), frequent, ["host", "h"], "n_rows")
+    hits = (lookup_join(lines, frequent, ["host", "h"], "n_rows")
             .where(F.col("n_docs").isNotNull())
             .groupBy("host", "_text", "pos").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("_copies"))
             .groupBy("host", "_text").agg(F.sum("n").alias("_boilerplate"), F.max("_copies").alias("_copies")))
