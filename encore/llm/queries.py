@@ -29,7 +29,7 @@ QUERIES = {
         table(spark, d, "documents"), quality_ordinal.label_grades(table(spark, d, "labels"))),
     "op9_decontaminate": lambda spark, d: decontaminate.contamination_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
-    "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages")),
+    "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages"), linked_seeds=True),
 }
 
 ORACLE_SQL = {

@@ -3,8 +3,14 @@
 Hosts that the rules mostly allow are trusted seeds, hosts that they mostly block
 are distrusted seeds. Personalised PageRank spreads trust along links and distrust
 against them (who links to a blocked host is suspect); each seed injects its own
-mass, so a score does not depend on how many seeds there are. A page without a
-rule is blocked when its host's distrust exceeds its trust by ``threshold``.
+mass, so a score does not depend on how many seeds there are. Distrust is the
+larger of two scores: the mass that blocked hosts share among all who link to them,
+and the personalised PageRank that blocked hosts have from the host itself, which
+depends on the host's own links and not on how many others link to the same seeds.
+A page without a rule is blocked when its host's distrust exceeds its trust by
+``threshold``. With ``linked_seeds`` (the registered query) a linked host without
+pages is a seed by the rules of the linked urls.
+``ORACLE_SQL`` has neither the second score nor the seeds without pages.
 
 Host links come from absolute links in the pages' html. Pages are reduced to one
 row per host and per linked pair of hosts before anything iterates; each round
@@ -29,6 +35,7 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)(?:href|src)[\x20\x09-\x0D]*=[\x20\x09-\x0D]*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'<>\x20\x09-\x0D]+)"""
+TARGET = LINK[:-1] + r"""[^?#"'<>\x20\x09-\x0D]*)"""  # with the path
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -59,6 +66,21 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
+def linked_hosts(pages: DataFrame, hosts: DataFrame, html: str = "html", rules=RULES) -> DataFrame:
+    """(host, n_pages, n_allow, n_block) of the linked hosts that are not in ``hosts``,
+    counted over the links to them; a link without a path is to ``/``."""
+    at = F.col("_target")
+    path = F.regexp_extract(at, "^[^/]+(.*)$", 1)
+    targets = pages.select(F.explode(F.regexp_extract_all(F.col(html), F.lit(TARGET), F.lit(1))).alias("_target"))
+    parts = targets.select(F.translate(F.regexp_extract(at, "^[^/]+", 0), UPPER, LOWER).alias("host"),
+                           F.when(path == "", "/").otherwise(path).alias("path"))
+    _, verdict = matching_rule(F.col("host"), F.col("path"), rules)
+    return (parts.select("host", verdict.alias("_v")).groupBy("host").agg(
+                F.count(F.lit(1)).alias("n_pages"), F.count(F.when(F.col("_v") == "allow", 1)).alias("n_allow"),
+                F.count(F.when(F.col("_v") == "block", 1)).alias("n_block"))
+            .join(hosts.select("host"), "host", "left_anti"))
+
+
 def spread(links: DataFrame, seeds: DataFrame, rounds: int, damping: float) -> DataFrame:
     """(host, score): personalised PageRank from ``seeds`` (host, seed) over
     ``links`` (src, dst, share), share being the part of src's score that dst gets,
@@ -90,21 +112,24 @@ def host_scores(hosts: DataFrame, links: DataFrame, rounds: int = 10, damping: f
     along = links.join(out, "src").select("src", "dst", (F.col("n") / F.col("_out")).alias("share"))
     against = links.join(into, "dst").select(
         F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("n") / F.col("_in")).alias("share"))
+    # Of a host's own links the part to each target: no growth of the target's in-degree dilutes it.
+    back = along.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
     part = F.lit(2) * F.col("n_allow") > F.col("n_pages")
     blocked = F.lit(2) * F.col("n_block") > F.col("n_pages")
     any_links = bool(links.head(1))
     n = rounds if any_links else 0  # without links the seeds keep their own score
     trust = spread(along, hosts.where(part).select("host", F.lit(1.0).alias("seed")), n, damping)
-    distrust = spread(against, hosts.where(blocked).select("host", F.lit(1.0).alias("seed")), n, damping)
+    bad = hosts.where(blocked).select("host", F.lit(1.0).alias("seed"))
+    distrust = spread(against, bad, n, damping).unionByName(spread(back, bad, n, damping))
     zero = F.lit(0.0)
     return (trust.select("host", F.col("score").alias("t"), zero.alias("d"))
             .unionByName(distrust.select("host", zero.alias("t"), F.col("score").alias("d")))
-            .groupBy("host").agg(F.sum("t").alias("trust"), F.sum("d").alias("distrust")))
+            .groupBy("host").agg(F.sum("t").alias("trust"), F.max("d").alias("distrust")))
 
 
 def url_filter(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
                rules=RULES, rounds: int = 10, damping: float = 0.85,
-               threshold: float = 0.05) -> DataFrame:
+               threshold: float = 0.05, linked_seeds: bool = False) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, distrust."""
     host, path = url_parts(F.col(url))
     parts = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
@@ -115,7 +140,10 @@ def url_filter(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
         F.count(F.when(F.col("_rule_verdict") == "allow", 1)).alias("n_allow"),
         F.count(F.when(F.col("_rule_verdict") == "block", 1)).alias("n_block")), "url-hosts")
     links = stored(host_links(pages, url, html), "url-links")
-    scores = host_scores(hosts, links, rounds, damping)
+    seeds = hosts
+    if linked_seeds and links.head(1):
+        seeds = stored(hosts.unionByName(linked_hosts(pages, hosts, html, rules)), "url-seeds")
+    scores = host_scores(seeds, links, rounds, damping)
     bad = (hosts.join(scores, "host")
            .where(F.col("distrust") - F.col("trust") > threshold)
            .select("host", F.col("n_pages").alias("_n"), "distrust"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from encore.llm import line_quality
+from encore.llm import line_quality, url_graph
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -20,3 +20,26 @@ def test_pages_that_share_many_lines_count_each(spark):
     assert all(got[i]["n_boilerplate_words"] == 140 and not got[i]["base_failed"] and not got[i]["kept"]
                for i in range(60))
     assert all(got[100 + i]["n_boilerplate_words"] == 0 for i in range(60))
+
+
+PAGES = "page_id long, url string, html string"
+
+
+def test_distrust_does_not_fade_with_more_linkers(spark):
+    rows = [(0, "http://spam.net/a", "")]
+    rows += [(1 + i, f"http://h{i}.com/x", "<a href='http://spam.net/a'>") for i in range(40)]
+    mixed = "".join(f"<a href='http://g{i}.com/'>" for i in range(9)) + "<a href='http://spam.net/a'>"
+    rows += [(100, "http://mixed.com/x", mixed), (101, "http://far.com/x", "<a href='http://h0.com/x'>")]
+    verdict = {r["page_id"]: r["verdict"] for r in url_graph.url_filter(
+        spark.createDataFrame(rows, PAGES), rounds=2).collect()}
+    assert verdict == {i: "block" for i in range(41)} | {100: "allow", 101: "block"}
+
+
+def test_linked_hosts_without_pages_are_seeds_by_their_rule(spark):
+    rows = [(1, "http://a.com/x", "<a href='http://spam.NET'>"), (2, "http://b.com/x", "<a href='//example.net/en/p'>"),
+            (3, "http://c.com/x", "<a href='http://example.net/other'>"),
+            (4, "http://d.com/x", "<a href='http://plain.com/'>")]
+    for pages in (rows[:2] + rows[3:], rows[2:]):
+        got = url_graph.url_filter(spark.createDataFrame(pages, PAGES), rounds=2, linked_seeds=True).collect()
+        assert {r["page_id"]: r["verdict"] for r in got} == {
+            i: {1: "block", 2: "allow", 3: "block", 4: "allow"}[i] for i, _, _ in pages}
