@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from encore.llm import line_quality, url_graph
+import pytest
+from pyspark.sql import functions as F
+
+from encore.llm import line_quality, pii, url_graph
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -43,3 +46,25 @@ def test_linked_hosts_without_pages_are_seeds_by_their_rule(spark):
         got = url_graph.url_filter(spark.createDataFrame(pages, PAGES), rounds=2, linked_seeds=True).collect()
         assert {r["page_id"]: r["verdict"] for r in got} == {
             i: {1: "block", 2: "allow", 3: "block", 4: "allow"}[i] for i, _, _ in pages}
+
+
+LONG = "".join(f"k{i}Z" for i in range(200))
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("password = correcthorsebattery here", ["password = correcthorsebattery"]),
+    ('{"password": "open sesame, \\"friend\\"!"}', ['password": "open sesame, \\"friend\\"!']),
+    ('{"id":1234567890,"password":"hunter2hunter2"}', ['id":1234567890', 'password":"hunter2hunter2']),
+    ("password: p@ssw0rd!2024 x", ["password: p@ssw0rd!2024"]),
+    ("user=adminadmin&password=p%40ss#word$", ["user=adminadmin", "password=p%40ss#word$"]),
+    (f"secret = {LONG}.{LONG}.{LONG} x", [f"secret = {LONG}.{LONG}.{LONG}"]),
+    (f"pwd='{LONG} {LONG}' x", [f"pwd='{LONG} {LONG}"]),
+    ("password: hunter22!me@corp.com x", ["password: hunter22!me@corp.com"]),
+])
+def test_secrets_are_proposed_whole(spark, text, want):
+    p = pii.proposals(F.col("t"))
+    free = F.filter(p, lambda x: (x["g"] == 0) & ~pii._overlaps(x, pii.base_spans(F.col("t"))))
+    got = spark.createDataFrame([(text,)], "t string").select(F.transform(free, lambda x: x["s"])).first()[0]
+    assert got == want
+    named = spark.createDataFrame([(s,) for s in want], "s string").select(F.rlike("s", F.lit(pii.CREDENTIAL)))
+    assert any(r[0] for r in named.collect())
