@@ -6,7 +6,7 @@ them again. All stages but the last return the columns of ``documents``; the las
 returns the mix (one row per kept document, range-sorted by training position).
 
 Defined results: a document with a NULL text is kept or rejected like an empty one;
-of documents that share a doc_id one row stays after the near-duplicate stage.
+of each group of near-duplicate texts one row stays, whatever ids the texts have.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from encore.llm import mixing as _mixing
 from encore.llm import pii as _pii
 from encore.llm import quality_ordinal as _quality
 from encore.llm import simhash as _simhash
-from encore.llm.common import stored, table
+from encore.llm.common import lookup_join, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,13 +30,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each SimHash group (4-word shingles,
-    4 differing bits)."""
-    groups = _simhash.near_duplicates(docs, shingle=4, radius=4)
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_id")).distinct()
-    return (docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    """Keeps the first row by (doc_id, hash of the text), NULL ids last, of each SimHash
+    group (4-word shingles, 4 differing bits)."""
+    stays = _simhash.first_rows(docs, shingle=4, radius=4).select(
+        "doc_id", F.col("hash").alias("_hash"), F.col("copies").alias("_n"), F.lit(True).alias("_stays"))
+    keyed = docs.withColumn("_hash", _simhash.text_hash("text"))
+    return (lookup_join(keyed, stays, ["doc_id", "_hash"], "_n").where("_stays")
+            .dropDuplicates(["doc_id", "_hash"]).select(*docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

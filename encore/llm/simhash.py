@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_stored, lookup_join, shuffle_parts, stored
@@ -233,12 +233,12 @@ def links(fps: DataFrame, radius: int = 4, blocks: int = 6, shard_size: int = 2_
 
 
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(fp, component) from ``nodes`` (fp, id) and ``edges`` (a, b): the smallest id
-    reachable. NULL ids sort last."""
+    """(fp, component, label) from ``nodes`` (fp, id) and ``edges`` (a, b): the smallest
+    id reachable, and the fingerprint that stands for the group. NULL ids sort last."""
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                   "simhash-edges")
     inside = both.select(F.col("a").alias("fp")).distinct()
-    alone = nodes.join(inside, "fp", "left_anti").select("fp", F.col("id").alias("component"))
+    alone = nodes.join(inside, "fp", "left_anti").select("fp", F.col("id").alias("component"), F.col("fp").alias("label"))
     # A label is the fingerprint that stands for the group: the one of smallest (id, fp).
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("fp").alias("fp"))
     labels = stored(nodes.join(inside, "fp", "left_semi").select("fp", order.alias("label")), "simhash-labels")
@@ -270,7 +270,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> Data
         drop_stored(labels)
         drop_stored(hooks)
         labels = new
-    return alone.unionByName(labels.select("fp", F.col("label.id").alias("component")))
+    return alone.unionByName(labels.select("fp", F.col("label.id").alias("component"), F.col("label.fp").alias("label")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6,
@@ -280,7 +280,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks:
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")),
                    "simhash-nodes")
     edges = links(nodes.select("fp"), radius, blocks, shard_size)
-    groups = components(nodes, edges).join(nodes.select("fp", "copies"), "fp")
+    groups = components(nodes, edges).drop("label").join(nodes.select("fp", "copies"), "fp")
     return lookup_join(prints, groups, ["fp"], "copies").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"))
+
+
+def first_rows(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, shard_size: int = 2_048,
+               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, hash, copies): per group of fingerprints the smallest (doc_id, md5 of the
+    text), NULL ids last, and the number of rows that hold it."""
+    key = F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), text_hash(text).alias("hash"))
+    prints = fingerprints(docs.select(key.alias("doc_id"), F.col(text).alias("text")), shingle)
+    rows = stored(prints.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("copies")), "simhash-rows")
+    nodes = stored(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "copies")).alias("first"))
+                   .select("fp", F.col("first.doc_id.id").alias("id"), "first"), "simhash-nodes")
+    groups = components(nodes.select("fp", "id"), links(nodes.select("fp"), radius, blocks, shard_size))
+    return (groups.join(nodes.select("fp", "first"), "fp").groupBy("label").agg(F.min("first").alias("first"))
+            .select(F.col("first.doc_id.id").alias("doc_id"), F.col("first.doc_id.hash").alias("hash"),
+                    F.col("first.copies").alias("copies")))
+
+
+def text_hash(text: str) -> Column:
+    return F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))

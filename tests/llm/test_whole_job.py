@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from encore.llm import line_quality, pii, url_graph
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -68,3 +69,12 @@ def test_secrets_are_proposed_whole(spark, text, want):
     assert got == want
     named = spark.createDataFrame([(s,) for s in want], "s string").select(F.rlike("s", F.lit(pii.CREDENTIAL)))
     assert any(r[0] for r in named.collect())
+
+
+def test_near_duplicate_stage_keeps_every_group(spark, tmp_path):
+    texts = [" ".join(f"{t}{k}" for k in range(30)) for t in ("alpha", "beta", "gamma", "delta")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (8, texts[2])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(
+        [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3])], key=repr)
