@@ -11,7 +11,9 @@ agrees in at least ``similarity`` of its words: substitutions are tolerated wher
 they fall. The three masks hit every stretch of 10 to 15 places with up to a fifth of
 the words replaced, whichever these are (all patterns were enumerated); items of fewer
 than ``MASKED`` words are sought by the run of adjacent words that must survive in them
-(``SHORT``), which documents are only searched for when such items exist.
+(``SHORT``), which documents are only searched for when such items exist. An item of
+fewer than ``min_item`` words is no evidence inside a longer text: it is reported in
+n_items and overlap, but contaminates only a document that has no other words.
 
 DataFrame expressions only. The benchmark's seeds are broadcast when there are at
 most ``broadcast_rows`` of them, else joined by a shuffle in which seeds that many
@@ -109,9 +111,9 @@ def hits(docs: DataFrame, places: DataFrame, masks=MASKS, broadcast_rows: int =
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 15, similarity: float = 0.8,
                   masks=MASKS, broadcast_rows: int = 500_000, text: str = "text",
                   item_id: str = "item_id", item_text: str = "text",
-                  out: str = "decontamination") -> DataFrame:
+                  out: str = "decontamination", min_item: int = 5) -> DataFrame:
     """``docs`` with ``out``: struct of contaminated, n_items and overlap (the best
-    verified share of equal words, 0 without one)."""
+    verified share of equal words, 0 without one) of all items found."""
     items = stored(benchmark.select(F.col(item_id).alias("item"), tokens(F.col(item_text)).alias("w"))
                    .where(F.size("w") > 0), "bench-items")
     places = stored(benchmark_seeds(items, masks), "bench-seeds")
@@ -126,11 +128,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 15, simil
     laid = found.join(ours, "key").join(
         F.broadcast(bench) if places.count() <= broadcast_rows else bench, "item")
     judged = stored(
-        laid.select("key", "item", overlap(F.col("w"), F.col("iw"), F.col("diagonal"), window).alias("share"))
+        laid.select("key", "item", overlap(F.col("w"), F.col("iw"), F.col("diagonal"), window).alias("share"),
+                    ((F.size("iw") >= min_item) | (F.size("iw") == F.size("w"))).alias("counts"))
         .where(F.col("share") >= similarity)
-        .groupBy("key", "item").agg(F.max("share").alias("share"))
-        .groupBy("key").agg(F.count(F.lit(1)).alias("n_items"), F.max("share").alias("overlap")), "contaminated")
-    verdict = F.struct(F.lit(True).alias("contaminated"), "n_items", "overlap")
+        .groupBy("key", "item").agg(F.max("share").alias("share"), F.max("counts").alias("counts"))
+        .groupBy("key").agg(F.count(F.lit(1)).alias("n_items"), F.max("share").alias("overlap"),
+                            F.max("counts").alias("contaminated")), "contaminated")
+    verdict = F.struct("contaminated", "n_items", "overlap")
     clean = F.struct(F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),
                      F.lit(0.0).alias("overlap"))
     keyed = docs.withColumn("_text_key", key)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from encore.llm import line_quality, pii, url_graph
+from encore.llm import decontaminate, line_quality, pii, url_graph
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -78,3 +78,11 @@ def test_near_duplicate_stage_keeps_every_group(spark, tmp_path):
     kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(
         [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3])], key=repr)
+
+
+def test_short_items_are_reported_but_drop_only_their_own_text(spark):
+    docs = spark.createDataFrame([(1, "he said yes to a trip to Paris"), (2, "Yes!"), (3, "a trip to rome by train now"),
+                                  (4, "nothing of it")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "yes"), (2, "Paris"), (3, "trip to Rome by train")], "item_id long, text string")
+    got = {r[0]: tuple(r[1:]) for r in decontaminate.contamination_query(docs, items).collect()}
+    assert got == {1: (False, 2, 1.0), 2: (True, 1, 1.0), 3: (True, 1, 1.0), 4: (False, 0, 0.0)}
