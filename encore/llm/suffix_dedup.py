@@ -1,9 +1,11 @@
 """Removal of repeated byte strings: every byte covered by a string of ``length``
 bytes that also starts anywhere else, in the same document or another.
 
-The suffixes are sampled, the samples are named by sorting fixed-length tuples, the
-names recurse to longer tuples, and the remaining suffixes take their answer from the
-sample at their offset. The sample is chosen by content instead of by a periodic
+The suffixes are sampled, the samples are named by hashes of fixed-length tuples and
+grouped by them, a run's name is extended once to all bytes of its strings, and what
+is left is compared or regrouped by hashes of whole strings. Nothing is sorted, names
+do not recurse, and no remaining suffixes are merged or compared with adjacent ones,
+as the difference-cover algorithm does: hash grouping replaces these. The sample is chosen by content instead of by a periodic
 difference cover: of each window of ``length - tuple + 1`` tuples the one of smallest
 hash is sampled, so equal strings hold their sample at the same offset (what the
 cover guarantees for one of its residues) with far fewer samples; see the README for
