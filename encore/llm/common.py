@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -59,6 +59,48 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(base: str, *tables: DataFrame) -> str:
+    """``base``, with underscores added until no table has a column of that name (names
+    are compared as Spark does, without case)."""
+    used = {c.lower() for t in tables for c in t.columns}
+    while base.lower() in used:
+        base += "_"
+    return base
+
+
+def hash_of(df: DataFrame, columns: list[str]) -> Column:
+    """One 64-bit hash of the ``columns`` (map columns, which have no hash, are left out)."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in columns if "map<" not in kinds[c]])
+
+
+def ranked(rows: DataFrame, group: Column, order: list[Column], tag: str) -> DataFrame:
+    """(row, place, total): each row of ``rows`` as a struct with its exact place, from 0, in
+    the order ``order`` inside its ``group`` (an expression of no NULLs), and the group's rows.
+
+    No window holds a whole group: the rows are written, cut by range into ordered parts
+    and written again, and a row's place is its place inside (part, group) plus the
+    group's rows in earlier parts. Rows that are equal in ``order`` follow their place in
+    the first written table, so copies are cut apart like any other rows. The window over
+    part sizes sees one row per part.
+    """
+    spark = rows.sparkSession
+    held = stored(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
+                              group.alias("grp"),
+                              *[o.alias(f"o{k}") for k, o in enumerate(order)]), f"{tag}-rows")
+    keys = [f"o{k}" for k in range(len(order))] + ["file", "line"]
+    cut = stored(held.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("line"))
+                 .repartitionByRange(shuffle_parts(spark), "grp", *keys)
+                 .withColumn("part", F.spark_partition_id()), f"{tag}-parts")
+    ahead = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (cut.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"))
+              .select("grp", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).cast("long").alias("start"),
+                      F.sum("n").over(Window.partitionBy("grp")).alias("total")))
+    inside = Window.partitionBy("grp", "part").orderBy(*keys)
+    placed = cut.withColumn("inside", F.row_number().over(inside).cast("long") - F.lit(1))
+    return placed.join(starts, ["grp", "part"]).select("row", (F.col("start") + F.col("inside")).alias("place"), "total")
+
+
 def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str,
                 hot_share: int = 1024, keep_weight: bool = False) -> DataFrame:
     """``big`` left-joined (NULL-safe) with ``small``, which holds each key once.

@@ -10,6 +10,8 @@ from . import (
     mixing,
     pii,
     quality_ordinal,
+    resample,
+    sharding,
     simhash,
     suffix_dedup,
     toxicity,
@@ -30,6 +32,9 @@ QUERIES = {
     "op9_decontaminate": lambda spark, d: decontaminate.contamination_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages"), linked_seeds=True),
+    "op12_resample": lambda spark, d: resample.resample_query(
+        table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op13_sharding": lambda spark, d: sharding.shard_query(table(spark, d, "documents")),
 }
 
 ORACLE_SQL = {
