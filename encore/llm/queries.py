@@ -41,4 +41,6 @@ ORACLE_SQL = {
     "op2_line_quality": line_quality.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op10_url_graph": url_graph.ORACLE_SQL,
+    "op12_resample": resample.ORACLE_SQL,
+    "op13_sharding": sharding.ORACLE_SQL,
 }

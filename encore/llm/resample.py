@@ -76,7 +76,7 @@ def bucket_gains(docs: DataFrame, target: DataFrame, buckets: int = 10_000, max_
     counts = []
     for table, column in ((docs, text), (target, target_text)):
         n = np.zeros(buckets)
-        for row in bucket_totals(table, buckets, max_words, column).toLocalIterator():
+        for row in bucket_totals(table, buckets, max_words, column).collect():  # at most ``buckets`` rows
             n[row["bucket"]] = row["n"]
         counts.append(n)
     s, t = counts
@@ -153,3 +153,48 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 25, min_words: i
 def resample_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     made = resample(docs, benchmark, keep=["doc_id"])
     return made.select("doc_id", "draw.n_features", "draw.weight", "draw.score", "draw.rank")
+
+
+ORACLE_SQL = r"""
+WITH tab AS (
+  SELECT list(list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)), k) ORDER BY k) AS t
+  FROM range(256) r(k)),
+texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, is_doc, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT doc_id, text, true AS is_doc FROM documents UNION ALL SELECT NULL, text, false FROM benchmark)),
+feats AS MATERIALIZED (
+  SELECT r, is_doc, f, count(*) AS n FROM (
+    SELECT r, is_doc, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+    FROM texts)
+  GROUP BY ALL),
+hashed AS MATERIALIZED (
+  SELECT f, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(f)), '..'), lambda p: ('0x' || p)::BIGINT),
+                  lambda c, b: xor(c >> 8, tab.t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT),
+                4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM feats), tab),
+counted AS MATERIALIZED (SELECT r, is_doc, bucket, sum(n) AS n FROM feats JOIN hashed USING (f) GROUP BY ALL),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (is_doc), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT is_doc), 0)::DOUBLE AS t
+  FROM counted GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000)
+                                 / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000))))::BIGINT AS gain
+  FROM sums),
+sized AS (
+  SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total
+  FROM counted JOIN gains USING (bucket) WHERE is_doc GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+         coalesce(((total - ((total % n_features + n_features) % n_features)) // n_features), 0)::BIGINT AS weight,
+         ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM texts LEFT JOIN sized USING (r) WHERE is_doc),
+noisy AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) OVER (PARTITION BY n_words >= 20) AS n FROM noisy)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank
+FROM placed
+"""

@@ -95,3 +95,32 @@ def shard_query(docs: DataFrame) -> DataFrame:
                          F.crc32(text.cast("binary")).alias("text_crc32"))
     return assign(narrow, 8).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "place.shard", "place.slot", "place.grown_shard")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list(list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)), k) ORDER BY k) AS t
+  FROM range(256) r(k)),
+d AS (
+  SELECT doc_id, (octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS size,
+         coalesce(xor(list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'),
+                         lambda p: ('0x' || p)::BIGINT),
+                      lambda c, b: xor(c >> 8, tab.t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT),
+                  4294967295::BIGINT), 0)::BIGINT AS text_crc32,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT AS key
+  FROM documents, tab),
+jumps AS (
+  SELECT DISTINCT key, n::BIGINT AS n, key::UHUGEINT AS k, 0::BIGINT AS b FROM d, (VALUES (8), (9)) v(n)
+  UNION ALL
+  SELECT key, n, k, t FROM (
+    SELECT key, n, k, floor((b + 1) * (2147483648::DOUBLE / ((k // 8589934592::UHUGEINT)::DOUBLE + 1)))::BIGINT AS t
+    FROM (SELECT key, n, b, (k * 2862933555777941757::UHUGEINT + 1) % 18446744073709551616::UHUGEINT AS k FROM jumps))
+  WHERE t < n),
+shards AS (
+  SELECT key, max(b) FILTER (n = 8)::INT AS shard, max(b) FILTER (n = 9)::INT AS grown_shard FROM jumps GROUP BY key)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY
+         CASE WHEN key >= 9223372036854775808 THEN key::HUGEINT - 18446744073709551616 ELSE key::HUGEINT END,
+         doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM d JOIN shards USING (key)
+"""
