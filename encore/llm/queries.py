@@ -4,6 +4,7 @@ can express. Each query applies its operator to the whole of its table."""
 from __future__ import annotations
 
 from . import (
+    collocations,
     decontaminate,
     license_scan,
     line_quality,
@@ -32,6 +33,7 @@ QUERIES = {
     "op9_decontaminate": lambda spark, d: decontaminate.contamination_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op10_url_graph": lambda spark, d: url_graph.url_filter(table(spark, d, "pages"), linked_seeds=True),
+    "op11_collocations": lambda spark, d: collocations.collocations(table(spark, d, "documents")),
     "op12_resample": lambda spark, d: resample.resample_query(
         table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op13_sharding": lambda spark, d: sharding.shard_query(table(spark, d, "documents")),
@@ -41,6 +43,7 @@ ORACLE_SQL = {
     "op2_line_quality": line_quality.ORACLE_SQL,
     "op4_mixing": mixing.ORACLE_SQL,
     "op10_url_graph": url_graph.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
     "op12_resample": resample.ORACLE_SQL,
     "op13_sharding": sharding.ORACLE_SQL,
 }
