@@ -6,7 +6,9 @@ the rows DROPMALFORMED would drop, but counted correctly and never turning a
 numeric column into text). The good rows go to a Parquet staging table in the
 shared folder, from which the raw backup and the cleaned table are written.
 Row counts for the report come from ``Observation`` metrics collected by the
-writes themselves, so no extra counting jobs re-read the CSV.
+writes themselves, so no extra counting jobs re-read the CSV. The clean table is read
+back and compared (rows and content hash) before it takes the place of the old one, so a
+load that fails leaves the old table.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from pyspark.sql import types as T
 
 from ..schema import DATASETS, EXPECTED_DATASETS, REQUIRED
 from ..session import remove_folder, shared_dir
-from .sinks import read_back, write_csv, write_parquet
+from .sinks import content_hash, read_back, write_csv
+from .versions import replace_folder
 
 CORRUPT = "_corrupt_record"
 
@@ -83,6 +86,7 @@ def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path:
     report = {"file": f"{name}.csv", "size_mb": None, "parquet_path": parquet_path,
               "raw_backup_path": backup_path, "original_rows": None, "malformed_rows": None,
               "cleaned_rows": None, "final_rows": None, "success": False, "error": None}
+    staging = shared_dir(spark, "ingest-staging", name)
     try:
         report["size_mb"] = file_size_mb(spark, csv_path)
         schema = header_schema(spark, csv_path, known, infer)
@@ -92,8 +96,7 @@ def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path:
         raw_obs = Observation(f"raw_{name}")
         parsed = read_csv(spark, csv_path, schema).observe(
             raw_obs, F.count(F.lit(1)).alias("rows"), F.count(F.col(CORRUPT)).alias("malformed"))
-        staging = shared_dir(spark, "ingest-staging", name)
-        write_parquet(drop_malformed(parsed), staging)
+        drop_malformed(parsed).write.parquet(staging)
         raw = raw_obs.get
         report["malformed_rows"] = int(raw["malformed"])
         report["original_rows"] = int(raw["rows"]) - int(raw["malformed"])
@@ -102,16 +105,22 @@ def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path:
 
         clean_obs = Observation(f"clean_{name}")
         cleaned = clean_dataset(good, required)
-        write_parquet(cleaned.observe(clean_obs, F.count(F.lit(1)).alias("rows")), parquet_path)
-        report["cleaned_rows"] = int(clean_obs.get["rows"])
-
-        report["final_rows"], report["error"] = read_back(   # S6
-            spark, parquet_path, report["cleaned_rows"])
-        report["success"] = report["error"] is None
-        if report["success"]:
-            remove_folder(spark, staging)
+        observed = cleaned.observe(clean_obs, F.count(F.lit(1)).alias("rows"), content_hash(cleaned).alias("content"))
+
+        def save(new: str) -> None:                          # S6, before S5 publishes it
+            observed.write.parquet(new)
+            seen = clean_obs.get
+            report["cleaned_rows"] = int(seen["rows"])
+            report["final_rows"], wrong = read_back(spark, new, report["cleaned_rows"], seen["content"])
+            if wrong:
+                raise OSError(wrong)
+
+        replace_folder(spark, parquet_path, save)
+        report["success"] = True
     except Exception as exc:  # noqa: BLE001 - one failing dataset must not stop the rest
         report["error"] = str(exc)
+    finally:
+        remove_folder(spark, staging)
     return report
 
 
