@@ -51,14 +51,15 @@ def first_items(lists: DataFrame, item: str = ARTIST, user: str = USER,
 
 
 def same_top1_artist(artists: DataFrame, item: str = ARTIST, k: int = 1,
-                     user: str = USER) -> DataFrame:
+                     user: str = USER, firsts: DataFrame | None = None) -> DataFrame:
     """M4: the most common #1 artist, its users and their share of all users.
 
     ``first_items`` has one row per user, the NULL user included, so an artist's users
     are its non-NULL rows and the total is the sum of all rows: a window over the
-    grouped result, from one scan of the list.
+    grouped result, from one scan of the list. ``firsts``: those rows, where at hand.
     """
-    per_artist = first_items(artists, item, user).groupBy(item).agg(
+    firsts = first_items(artists, item, user) if firsts is None else firsts
+    per_artist = firsts.groupBy(item).agg(
         F.count(user).alias("users_count"), F.count(F.lit(1)).alias("_rows"))
     # Totalled map-side into one row, then joined by the scalar: the groups are reused.
     total = per_artist.agg(F.sum("_rows")).scalar()
@@ -73,23 +74,26 @@ def mention_counts(lists: DataFrame, item: str = ARTIST) -> DataFrame:
     return lists.groupBy(item).agg(F.count(F.lit(1)).alias("mentions"))
 
 
-def mention_stats(artists: DataFrame, item: str = ARTIST) -> DataFrame:
-    """M5: mean, median and sample stddev of mentions per artist as (metric, value)."""
-    stats = summary(mention_counts(artists, item), "mentions", {STAT_MEDIAN: 0.5},
+def mention_stats(artists: DataFrame, item: str = ARTIST, mentions: DataFrame | None = None) -> DataFrame:
+    """M5: mean, median and sample stddev of mentions per artist as (metric, value).
+    ``mentions``: ``mention_counts``, where at hand."""
+    mentions = mention_counts(artists, item) if mentions is None else mentions
+    stats = summary(mentions, "mentions", {STAT_MEDIAN: 0.5},
                     mean=STAT_MEAN, stddev=STAT_STDDEV)
     return stats.unpivot([], [STAT_MEAN, STAT_MEDIAN, STAT_STDDEV], "metric", "value")
 
 
-def long_tail(artists: DataFrame, share: float = 0.8, item: str = ARTIST) -> DataFrame:
+def long_tail(artists: DataFrame, share: float = 0.8, item: str = ARTIST,
+              mentions: DataFrame | None = None) -> DataFrame:
     """M6: artists whose running mention total (most mentioned first) stays within
     ``share`` of all mentions.
 
     The running total uses the default RANGE frame, so tied artists share one
     cumulative value. It is computed over the histogram mentions → #artists, which
     has at most ~sqrt(2·rows) entries, so the unpartitioned window sees a tiny
-    input instead of every artist.
+    input instead of every artist. ``mentions``: ``mention_counts``, where at hand.
     """
-    hist = (mention_counts(artists, item)
+    hist = ((mention_counts(artists, item) if mentions is None else mentions)
             .groupBy("mentions").agg(F.count(F.lit(1)).alias("n_artists"))
             .withColumn("weight", F.col("mentions") * F.col("n_artists")))
     running = Window.orderBy(F.col("mentions").desc()).rangeBetween(

@@ -232,3 +232,53 @@ def test_average_position_over_range_buckets_matches_the_window(artists):
     plain = sorted(rows(co.average_position(artists(data))), key=repr)
     split = sorted(rows(co.average_position(artists(data), group_limit=50)), key=repr)
     assert split == plain
+
+
+@pytest.mark.parametrize("size", [2, 3])
+@pytest.mark.parametrize("heavy", [False, True])
+def test_pair_counters_prune_but_lose_nothing(spark, artists, size, heavy):
+    """Flat popularity: degrees prune nothing, the pair counters most combinations."""
+    from pyspark.sql import functions as F
+    from encore.functions.bitset import slot_of
+    rnd = random.Random(3)
+    pool = [f"a{i:03d}" for i in range(120)]
+    data = [(f"u{u}", a, 1, 1) for u in range(150) for a in rnd.sample(pool, 9)]
+    data += [(f"v{u}", a, 1, 1) for u in range(6) for a in ("a000", "a001", "a002")]
+    df, options = artists(data), {"max_set": 5, "budget": 20} if heavy else {}
+    # Few counters, so that pairs share them, and more pairs than counters.
+    out = co.top_combinations(df, size, 5, count_col="n", counter_bits=10, **options)
+    assert rows(out) == brute_force(data, size, 5)
+    ids = df.select("user_id", F.struct(F.xxhash64("artist_name").alias("_h"), F.lit(0).alias("_s")).alias("_id"))
+    tau = F.lit(rows(out)[-1][-1])
+    found = co.pair_set(co._combo_rows(ids, 2, "user_id"), tau, 16)
+    every = co._combo_rows(ids, size, "user_id")
+    pruned = co._combo_rows(ids, size, "user_id", allowed=co.PairFilter(found, 16))
+    assert pruned.count() < every.count() / 4
+    assert 0 <= every.select(slot_of(16, F.col("item1"), F.col("item2")).alias("s")).agg(F.max("s")).first()[0] < 1 << 16
+
+
+def test_average_position_plan_runs_no_job(spark, artists):
+    data = [("hot", f"a{i}", i % 3, 1) for i in range(60)] + [("u", "a1", 1, 1)]
+    lists = artists(data)
+    spark.sparkContext.setJobGroup("plan-only", "building the plan")
+    try:
+        plan = co.average_position(lists, group_limit=20)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(rows(plan), key=repr) == sorted(rows(co.average_position(lists)), key=repr)
+
+
+def test_buckets_cut_twice_are_an_error(spark, artists):
+    """Without exchange reuse both sides sample their own ranges: never a wrong total."""
+    data = [("hot", f"a{i:03d}", i % 3, 1) for i in range(400)]
+    want = sorted(rows(co.average_position(artists(data))), key=repr)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = sorted(rows(co.average_position(artists(data), group_limit=20)), key=repr)
+    except Exception as exc:  # noqa: BLE001
+        assert "cut twice" in str(exc)
+    else:
+        assert got == want
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
