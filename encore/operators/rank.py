@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import order_desc_then
 from ..schema import PLAYCOUNT, USER
-from ..session import shared_dir
 
 # Rows of one group that one task may sort (about 100 MB).
 GROUP_LIMIT = 1 << 20
@@ -32,39 +31,46 @@ def user_window(ties: Sequence[str], user: str = USER, playcount: str = PLAYCOUN
 
 
 def running_total(df: DataFrame, by: str, order: Sequence[Column], value: str | None = None,
-                  out: str = "_before", group_limit: int = GROUP_LIMIT,
-                  folder: str | None = None) -> DataFrame:
+                  out: str = "_before", group_limit: int = GROUP_LIMIT) -> DataFrame:
     """Exclusive running total of ``value`` (a row count when omitted) within each
     ``by`` group, in ``order``; added as column ``out`` (long).
 
-    Groups of at most ``group_limit`` rows take one window. Larger ones are found by
-    one count per group, run here; only if there are any are their rows written, to
-    ``folder`` (by default one in the session's shared folder; whoever reads the result
-    removes it), in contiguous range buckets: see ``write_ranged``. A group holding a
-    third of all rows is then spread over many buckets.
+    Groups of at most ``group_limit`` rows take one window. The rows of larger ones, found
+    by a count per group in the same plan, are cut by range into contiguous, ordered
+    buckets. A row's total is that of its group's earlier buckets (a window over one row
+    per bucket) and of the rows before it in its bucket. A group holding a third of all
+    rows is spread over many buckets. Building the plan runs no job and writes nothing.
+
+    The buckets are those of one range exchange, which both parts of the sum read. Since
+    they are contiguous, the sum is right exactly if both saw as many rows in each bucket;
+    the plan compares the two and fails otherwise (say, with exchange reuse turned off).
 
     ``order`` should be a total order within a group; rows tied on it are counted one
     after another, as ``row_number`` does.
     """
     large = (df.groupBy(F.struct(by).alias("_g")).agg(F.count("*").alias("_rows"))
-             .where(F.col("_rows") > group_limit))
-    held = [r[0] for r in large.select("_g").limit(1).collect()]
+             .where(F.col("_rows") > group_limit).select("_g"))
     v = F.col(value) if value else F.lit(1)
     keyed = df.withColumn("_g", F.struct(by))
-    if not held:
-        return _windowed(keyed, ["_g"], order, v, out).drop("_g")
     # At most rows / group_limit groups are large; the semi-join is left to Spark's size check.
     small = _windowed(keyed.join(large, "_g", "left_anti"), ["_g"], order, v, out).drop("_g")
-    ranged = write_ranged(keyed.join(large, "_g", "left_semi"), order,
-                          folder or shared_dir(df.sparkSession, "buckets"))
-    inside = _windowed(ranged, ["_g", "_b"], order, v, "_in")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (keyed.join(large, "_g", "left_semi").repartitionByRange(n, F.col("_g"), *order)
+              .withColumn("_b", F.spark_partition_id()))
+    bucket = Window.partitionBy("_g", "_b")
+    inside = _windowed(ranged, ["_g", "_b"], order, v, "_in").withColumn("_held", F.count(F.lit(1)).over(bucket))
     earlier = Window.partitionBy("_kg").orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
+    # The hash of whole rows keeps this side's exchange the same as the other's, so that
+    # Spark runs one of them.
     offsets = (ranged.groupBy(F.col("_g").alias("_kg"), F.col("_b").alias("_kb"))
-               .agg(F.sum(v).alias("_bt"))
-               .withColumn("_off", F.coalesce(F.sum("_bt").over(earlier), F.lit(0)).cast("long")))
-    joined = inside.join(offsets, (F.col("_g") == F.col("_kg")) & (F.col("_b") == F.col("_kb")))
-    spread = joined.withColumn(out, F.col("_off") + F.col("_in"))
-    return small.unionByName(spread.select(*small.columns))
+               .agg(F.sum(v).alias("_bt"), F.count(F.lit(1)).alias("_seen"),
+                    F.max(F.xxhash64(*[F.col(c) for c in df.columns])).alias("_hash"))
+               .withColumn("_off", F.coalesce(F.sum("_bt").over(earlier), F.lit(0)).cast("long")
+                           + F.when(F.col("_hash").isNull(), 1).otherwise(0)))
+    joined = inside.join(offsets, (F.col("_g") == F.col("_kg")) & (F.col("_b") == F.col("_kb")), "left")
+    total = (F.when(F.col("_seen") == F.col("_held"), F.col("_off") + F.col("_in"))
+             .otherwise(F.raise_error(F.lit("the range buckets were cut twice, differently"))))
+    return small.unionByName(joined.withColumn(out, total.cast("long")).select(*small.columns))
 
 
 def _windowed(df: DataFrame, by: list[str], order: Sequence[Column], v: Column, out: str) -> DataFrame:
@@ -72,20 +78,6 @@ def _windowed(df: DataFrame, by: list[str], order: Sequence[Column], v: Column,
     return df.withColumn(out, F.coalesce(F.sum(v).over(before), F.lit(0)).cast("long"))
 
 
-def write_ranged(keyed: DataFrame, order: Sequence[Column], folder: str) -> DataFrame:
-    """``keyed`` (with ``_g``) written in contiguous, ordered buckets ``_b`` and read back.
-
-    ``repartitionByRange`` samples the boundaries from the data; writing the bucket id
-    with the rows gives every later read, and every retry after a lost executor, the
-    same buckets.
-    """
-    spark = keyed.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (keyed.repartitionByRange(n, F.col("_g"), *order)
-     .withColumn("_b", F.spark_partition_id()).write.parquet(folder))
-    return spark.read.parquet(folder)
-
-
 def rank_within_user(lists: DataFrame, ties: Sequence[str], k: int | None = None,
                      rank_col: str = "rn", user: str = USER, playcount: str = PLAYCOUNT,
                      group_limit: int = GROUP_LIMIT) -> DataFrame:

@@ -89,3 +89,16 @@ def test_running_total_splits_a_hot_user_over_buckets(spark, artists):
     plain = df.withColumn("rn", F.row_number().over(user_window(["artist_name"])))
     key = ("user_id", "playcount", "artist_name", "rn")
     assert sorted(rows(split, *key), key=repr) == sorted(rows(plain, *key), key=repr)
+
+
+def test_equal_signatures_are_settled_by_names(spark, tracks, monkeypatch):
+    """All lists under one signature: still grouped by their names, NULLs included."""
+    from pyspark.sql import functions as F
+    from encore.operators import counts
+    data = [(u, t, "A", 9 - k) for u, names in (("u1", "abc"), ("u2", "abc"), ("u3", "abd"), ("u4", "abd"), ("u5", "abd"),
+                                                ("u6", "xyz"), (None, "abc")) for k, t in enumerate(names)]
+    data += [(u, None, "A", 3) for u in ("u7", "u8")] + [("u7", "q", "A", 1), ("u8", "q", "A", 1)]
+    plain = rows(counts.identical_top_lists(tracks(data)))
+    monkeypatch.setattr(counts, "list_signature", lambda *c: F.struct(F.lit(1).alias("a"), F.lit(2).alias("b")))
+    assert rows(counts.identical_top_lists(tracks(data))) == plain
+    assert plain == [("a", "b", "d", 3), (None, "q", None, 2), ("a", "b", "c", 2)]
