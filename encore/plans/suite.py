@@ -2,12 +2,14 @@
 
 Each result is one plan and one write; its row count is observed during that
 write (no second job). Inputs are the per-user lists as DataFrames, normally
-column-pruned Parquet scans, so each metric reads only the columns it needs.
+column-pruned Parquet scans, so each metric reads only the columns it needs. Mentions
+per artist, rows per user, distinct (user, item) rows and each user's #1 artist are made
+once per run and read by all metrics that build on them (``SHARED``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,38 +20,75 @@ from ..operators import cooccur as co
 from ..operators import counts as cnt
 from ..operators import popularity as pop
 from ..operators import quality as qa
-from ..schema import RESULT_TABLES
+from ..schema import ALBUM, ARTIST, RESULT_TABLES, TRACK, USER
+from ..session import remove_folder, shared_dir
+
+Lists = Mapping[str, DataFrame]  # keys: artists, tracks, albums
+Result = Callable[["Shared"], DataFrame]
+
+# Intermediate results that several metrics read, by name. Distinct (user, item) rows
+# stand in for a list wherever a metric counts distinct users or items.
+SHARED: dict[str, Callable[[Lists], DataFrame]] = {
+    "artist_users": lambda t: t["artists"].select(USER, ARTIST).distinct(),
+    "track_users": lambda t: t["tracks"].select(USER, TRACK).distinct(),
+    "album_users": lambda t: t["albums"].select(USER, ALBUM).distinct(),
+    "artist_mentions": lambda t: pop.mention_counts(t["artists"]),
+    "track_mentions": lambda t: pop.mention_counts(t["tracks"]),
+    "artist_rows": lambda t: qa.row_counts(t["artists"]),
+    "track_rows": lambda t: qa.row_counts(t["tracks"]),
+    "first_artists": lambda t: pop.first_items(t["artists"]),
+}
+
+
+class Shared:
+    """The input lists and, by name, the intermediate results of one suite run. One that is
+    asked for is written to the shared folder, once, and read from there."""
+
+    def __init__(self, spark: SparkSession, lists: Lists):
+        self.spark, self.lists, self.folders = spark, lists, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self.lists:
+            return self.lists[name]
+        if name not in self.folders:
+            folder = shared_dir(self.spark, "suite", name)
+            SHARED[name](self.lists).write.parquet(folder)
+            self.folders[name] = folder
+        return self.spark.read.parquet(self.folders[name])
 
-Lists = dict[str, DataFrame]  # keys: artists, tracks, albums
-Result = Callable[[Lists], DataFrame]
+    def drop(self) -> None:
+        for folder in self.folders.values():
+            remove_folder(self.spark, folder)
+        self.folders = {}
 
 
 def _popularity() -> dict[str, Result]:
     return {
-        "top_20_artists": lambda t: pop.top_artists(t["artists"]),
-        "top_20_tracks": lambda t: pop.top_tracks(t["tracks"]),
-        "top_20_albums": lambda t: pop.top_albums(t["albums"]),
-        "same_top1_artist": lambda t: pop.same_top1_artist(t["artists"]),
-        "artist_mention_stats": lambda t: pop.mention_stats(t["artists"]),
-        "long_tail_80": lambda t: pop.long_tail(t["artists"]),
+        "top_20_artists": lambda t: pop.top_artists(t["artist_users"]),
+        "top_20_tracks": lambda t: pop.top_tracks(t["track_users"]),
+        "top_20_albums": lambda t: pop.top_albums(t["album_users"]),
+        "same_top1_artist": lambda t: pop.same_top1_artist(t["artists"], firsts=t["first_artists"]),
+        "artist_mention_stats": lambda t: pop.mention_stats(t["artists"], mentions=t["artist_mentions"]),
+        "long_tail_80": lambda t: pop.long_tail(t["artists"], mentions=t["artist_mentions"]),
     }
 
 
 def _quality() -> dict[str, Result]:
     return {
-        "data_quality": lambda t: qa.missing_data_report(t["artists"]),
-        "outlier_users": lambda t: qa.outlier_users(t["artists"]),
-        "low_coverage_artists": lambda t: qa.low_coverage_items(t["artists"]),
+        "data_quality": lambda t: qa.missing_data_report(t["artist_users"], per_user=t["artist_rows"]),
+        "outlier_users": lambda t: qa.outlier_users(t["artists"], per_user=t["artist_rows"]),
+        "low_coverage_artists": lambda t: qa.low_coverage_items(t["artists"], mentions=t["artist_mentions"]),
     }
 
 
 def _cooccurrence() -> dict[str, Result]:
     return {
-        "top_50_artist_pairs": lambda t: co.artist_pairs(t["artists"]),
+        "top_50_artist_pairs": lambda t: co.artist_pairs(t["artist_users"]),
         "top_50_artist_triplets": lambda t: co.artist_triplets(t["artists"]),
-        "artist_track_overlap": lambda t: co.artist_track_overlap(t["artists"], t["tracks"]),
+        "artist_track_overlap": lambda t: co.artist_track_overlap(t["artists"], t["tracks"], firsts=t["first_artists"]),
         "artist_average_position": lambda t: co.average_position(t["artists"]),
-        "top1_in_global_top5_frequency": lambda t: co.top1_in_global_top(t["artists"]),
+        "top1_in_global_top5_frequency": lambda t: co.top1_in_global_top(
+            t["artist_users"], firsts=t["first_artists"]),
         "position_stability_users": lambda t: co.position_stability(t["artists"]),
     }
 
@@ -57,13 +96,13 @@ def _cooccurrence() -> dict[str, Result]:
 def _counts() -> dict[str, Result]:
     """R2: per-user counts and their stats, unique items, list shapes."""
     return {
-        "user_artist_counts": lambda t: cnt.artists_per_user(t["artists"])[0],
-        "user_artist_stats": lambda t: cnt.artists_per_user(t["artists"])[1],
-        "user_track_counts": lambda t: cnt.tracks_per_user(t["tracks"])[0],
-        "user_track_stats": lambda t: cnt.tracks_per_user(t["tracks"])[1],
-        "user_album_counts": lambda t: cnt.albums_per_user(t["albums"])[0],
-        "user_album_stats": lambda t: cnt.albums_per_user(t["albums"])[1],
-        "unique_items": lambda t: cnt.unique_items(t["artists"], t["tracks"], t["albums"]),
+        "user_artist_counts": lambda t: cnt.artists_per_user(t["artist_users"])[0],
+        "user_artist_stats": lambda t: cnt.artists_per_user(t["artist_users"])[1],
+        "user_track_counts": lambda t: cnt.tracks_per_user(t["track_users"])[0],
+        "user_track_stats": lambda t: cnt.tracks_per_user(t["track_users"])[1],
+        "user_album_counts": lambda t: cnt.albums_per_user(t["album_users"])[0],
+        "user_album_stats": lambda t: cnt.albums_per_user(t["album_users"])[1],
+        "unique_items": lambda t: cnt.unique_items(t["artist_users"], t["track_users"], t["album_users"]),
         "users_same_top3_from_top10": lambda t: cnt.identical_top_lists(t["tracks"]),
         "users_top5_single_artist": lambda t: cnt.single_artist_top_k(t["tracks"]),
     }
@@ -72,9 +111,11 @@ def _counts() -> dict[str, Result]:
 def _compare() -> dict[str, Result]:
     """R3: artist lists against track lists."""
     return {
-        "top_artists_active_users": lambda t: cmp.active_user_artists(t["artists"], t["tracks"]),
-        "cross_popularity_artists": lambda t: cmp.cross_popularity(t["artists"], t["tracks"]),
-        "artists_diversity": lambda t: cmp.artist_diversity(t["artists"], t["tracks"]),
+        "top_artists_active_users": lambda t: cmp.active_user_artists(
+            t["artist_users"], t["tracks"], per_user=t["track_rows"]),
+        "cross_popularity_artists": lambda t: cmp.cross_popularity(
+            t["artists"], t["tracks"], in_artists=t["artist_mentions"], in_tracks=t["track_mentions"]),
+        "artists_diversity": lambda t: cmp.artist_diversity(t["artist_users"], t["tracks"]),
     }
 
 
@@ -100,17 +141,22 @@ def run_suite(spark: SparkSession, lists: Lists, store, groups: Iterable[str] |
     """R1: write every selected result to ``store``; return (result, rows).
 
     Stops at the first failing result and re-raises it; results already
-    written stay in the store.
+    written stay in the store. What several results share (``SHARED``) is written once to
+    the shared folder, and removed at the end.
     """
     results = suite_results(groups)
     if only is not None:
         wanted = set(only)
         results = {k: v for k, v in results.items() if k in wanted}
     written = []
-    for name, build in results.items():
-        obs = Observation(f"rows_{name}")
-        store.write(build(lists).observe(obs, F.count(F.lit(1)).alias("rows")), name)
-        written.append((name, int(obs.get["rows"])))
+    shared = Shared(spark, lists)
+    try:
+        for name, build in results.items():
+            obs = Observation(f"rows_{name}")
+            store.write(build(shared).observe(obs, F.count(F.lit(1)).alias("rows")), name)
+            written.append((name, int(obs.get["rows"])))
+    finally:
+        shared.drop()
     schema = T.StructType([T.StructField("result", T.StringType()),
                            T.StructField("rows", T.LongType())])
     return spark.createDataFrame(written, schema)

@@ -83,3 +83,23 @@ def test_fixture_joins_are_salted_on_hot_keys(spark):
     # part and supplier joins: (key, salt) equi-joins, hot keys broadcast
     assert plan.count("sequence(0") == 2
     assert "_salt" in plan and "BroadcastExchange" in plan
+
+
+def test_suite_makes_each_shared_result_once(spark, artists, tracks, albums, tmp_path):
+    import os
+
+    from encore.plans import suite
+    from encore.sources.sinks import ParquetStore
+    lists = {"artists": artists([("u1", "A", 2, 1), ("u2", "A", 1, 1)]), "tracks": tracks([("u1", "t", "A", 1)]),
+             "albums": albums([("u1", "b", 1)])}
+    made = []
+    real = dict(suite.SHARED)
+    for name, build in real.items():
+        suite.SHARED[name] = lambda t, name=name, build=build: made.append(name) or build(t)
+    try:
+        suite.run_suite(spark, lists, ParquetStore(str(tmp_path)))
+    finally:
+        suite.SHARED.update(real)
+    assert sorted(made) == sorted(real)
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not [f for f in os.listdir(shared) if f.startswith("suite-artist")]
