@@ -4,19 +4,20 @@ Texts are lower-cased (A-Z), cut into pieces at punctuation and line ends, and p
 words at spaces and tabs. A phrase is a run of words of one piece, its words joined by one
 space. All counts are exact and cover every text.
 
-1. Fingerprints, one scan for each length: numpy prefix polynomials over the bytes (two
-   primes of 31 bits, together the key) give every n-gram's fingerprint from two prefix
-   values. A task adds up equal keys; the shuffle sums them with an occurrence pointer
-   (smallest text hash, word number) and the range of a third, independent fingerprint
-   modulo 2^64. Phrases themselves are not shuffled. A phrase is no more frequent than
-   its parts, so the scan for n words skips runs whose two parts of n - 1 words miss a
-   bit set of the frequent ones. Its size is fixed (2^filter_bits bits, whatever the
-   input), so it goes to every task; too full it prunes less, never wrongly.
-2. Collisions: keys whose third fingerprints differ stand for several phrases. Their
-   n-grams are counted again from the texts, by the words themselves.
+1. Fingerprints, one scan for each length: numpy prefix polynomials over the bytes, one
+   modulo a prime and one modulo 2^64, give every n-gram's 62-bit key and a 16-bit
+   witness from two prefix values each. A task adds up equal keys in blocks and sends
+   them as sorted arrays, dealt by key range; a bucket's arrays are merged by one more
+   sort, with an occurrence pointer (40 bits of the text's hash, 24 of the word number).
+   Phrases themselves are not shuffled. A phrase is no more frequent than its parts, so
+   the scan for n words skips runs whose two parts of n - 1 words miss a bit set of the
+   frequent ones. Its size is fixed (2^filter_bits bits, whatever the input), so it goes
+   to every task; too full it prunes less, never wrongly.
+2. Collisions: keys whose witnesses differ stand for several phrases. Their n-grams are
+   counted again from the texts, by the words themselves.
 3. Only frequent phrases are materialised: pointers meet the texts they name, and a
    phrase counts as found if its words give the key again.
-4. A candidate's score is that of its weakest cut into two phrases, a exact decimal
+4. A candidate's score is that of its weakest cut into two phrases, an exact decimal
    quotient. Parts that many candidates share (frequent words) are spread by
    ``lookup_join``. Candidates that a longer one mostly explains are dropped.
 
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lookup_join, stored
+from .common import lookup_join, shuffle_parts, stored
 
 U = np.uint64
 WORD, GAP, BREAK = 0, 1, 2
@@ -46,52 +47,55 @@ KIND = np.array([BREAK if chr(c) in ".,;:!?\n\x0b\x0c\r" else GAP if chr(c) in "
                 np.uint8)
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 SPACED = np.where(KIND == WORD, LOWER, 32).astype(np.uint8).tobytes()
-PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
+PRIME = (1 << 31) - 1
 CUT = 1 << 20
-COUNTS = "lang string, key long, c long, low int, high int, h long, at int"
+BLOCK = 1 << 20
+NUMBER_BITS = 24
+PARTS = "bucket long, lang string, keys array<long>, c array<int>, p array<long>, w array<smallint>"
+COUNTS = "lang string, key long, c long, p long, one boolean"
+
+
+def modulo(x: np.ndarray) -> np.ndarray:
+    return x - x // U(PRIME) * U(PRIME)
 
 
 class Prints:
-    """Fingerprints of byte ranges from prefix polynomials with fixed random bases."""
+    """Fingerprints of byte ranges from prefix polynomials with fixed random bases, one
+    modulo PRIME and one modulo 2^64."""
 
     def __init__(self, bits: int = 62):
         rng = np.random.default_rng(11)
         self.mask = U((1 << bits) - 1)
-        self.values = [rng.integers(1, p, 256, dtype=np.uint64) for p in PRIMES]
-        self.values.append(rng.integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1))
-        self.bases = [int(rng.integers(1 << 20, p)) for p in PRIMES] + [int(rng.integers(1 << 61, 1 << 62)) * 4 + 3]
-        self.moduli = [*PRIMES, 1 << 64]
+        self.small = rng.integers(1, PRIME, 256, dtype=np.uint64)
+        self.large = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
+        self.base = int(rng.integers(1 << 20, PRIME)), int(rng.integers(1 << 61, 1 << 62)) * 4 + 3
         self.size = 0
 
     def _powers(self, base: int, m: int, n: int) -> np.ndarray:
         out = np.ones(1, U)
         while len(out) < n:
-            step = U(pow(base, len(out), m))
-            out = np.concatenate([out, out * step if m >> 64 else out * step % U(m)])
+            more = out * U(pow(base, len(out), m))
+            out = np.concatenate([out, modulo(more) if m == PRIME else more])
         return out[:n]
 
     def load(self, data: np.ndarray) -> None:
         """Prefix polynomials of ``data`` (bytes)."""
         if self.size <= len(data):
             self.size = max(2 * self.size, len(data) + 1)
-            self.powers = [self._powers(b, m, self.size) for b, m in zip(self.bases, self.moduli, strict=True)]
-            self.inverses = [self._powers(pow(b, -1, m), m, self.size)
-                             for b, m in zip(self.bases, self.moduli, strict=True)]
-        self.prefix = []
-        for v, w, m in zip(self.values, self.powers, self.moduli, strict=True):
-            terms = v[data] * w[:len(data)]
-            # Below 2^31 each, the terms' sum stays below 2^64 for any text.
-            self.prefix.append(np.concatenate([np.zeros(1, U), np.cumsum(terms if m >> 64 else terms % U(m), dtype=U)]))
-
-    def _range(self, k: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        part, m = self.prefix[k][end] - self.prefix[k][start], self.moduli[k]
-        return part * self.inverses[k][start] if m >> 64 else part % U(m) * self.inverses[k][start] % U(m)
-
-    def keys(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return ((self._range(0, start, end) << U(31) | self._range(1, start, end)) & self.mask).view(np.int64)
-
-    def witnesses(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self._range(2, start, end) >> U(32)).astype(np.uint32).view(np.int32)
+            self.powers, self.inverses = ([self._powers(pow(b, e, m), m, self.size) for b, m in zip(
+                self.base, (PRIME, 1 << 64), strict=True)] for e in (1, -1))
+        n, zero = len(data), np.zeros(1, U)
+        # Terms below 2^31 add up to less than 2^64 in any text.
+        self.first = np.concatenate([zero, np.cumsum(modulo(self.small[data] * self.powers[0][:n]), dtype=U)])
+        self.second = np.concatenate([zero, np.cumsum(self.large[data] * self.powers[1][:n], dtype=U)])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, witnesses) of byte ranges."""
+        a = modulo(modulo(self.first[end] - self.first[start]) * self.inverses[0][start])
+        b = (self.second[end] - self.second[start]) * self.inverses[1][start]
+        b = (b ^ (b >> U(32))) * U(0xD6E8FEB86659FD93)
+        keys = ((a << U(31) | b >> U(33)) & self.mask).view(np.int64)
+        return keys, (b >> U(17)).astype(np.uint16).view(np.int16)
 
 
 class Words:
@@ -165,58 +169,125 @@ def in_set(bits: np.ndarray, keys: np.ndarray, lang_hash: np.ndarray) -> np.ndar
 
 
 def bit_set(keys: DataFrame, bits: int) -> np.ndarray:
-    """2**bits bits with those of the (lang, key) rows set. The driver gets at most
-    2**(bits - 6) words, whatever the rows."""
+    """2**bits bits with those of the (lang, key) rows set. They reach the driver as at most
+    2**10 packed rows of 2**(bits - 13) bytes, whatever the number of keys."""
     slot = F.col("key").bitwiseXOR(F.shiftleft(F.crc32(F.col("lang").cast("binary")), 16)).bitwiseAND(
         F.lit((1 << bits) - 1))
-    words = (keys.select(slot.alias("slot"))
-             .groupBy(F.shiftright("slot", 6).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toPandas())
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out.view(U)
-
-
-def count_keys(texts: DataFrame, n: int, parts: np.ndarray | None, bits: int) -> DataFrame:
-    """COUNTS of the runs of ``n`` words whose parts are in ``parts`` (None: all). With
-    ``n`` = 1 there is a row of key -1 with the number of words of each language."""
+    size = max(0, bits - 16)  # words of a row, as a power of two
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        words = np.zeros(1 << size, np.int64)
+        words[rows["word"].to_numpy() & ((1 << size) - 1)] = rows["bits"]
+        return pd.DataFrame({"place": [rows["place"].iloc[0]], "packed": [words.tobytes()]})
+
+    packed = (keys.select(slot.alias("slot"))
+              .groupBy(F.shiftright("slot", 6).alias("word"))
+              .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits"))
+              .withColumn("place", F.shiftright("word", size))
+              .groupBy("place").applyInPandas(pack, "place long, packed binary"))
+    out = np.zeros((1 << (bits - 6 - size), 1 << size), np.int64)
+    for row in packed.collect():
+        out[row["place"]] = np.frombuffer(row["packed"], np.int64)
+    return out.ravel().view(U)
+
+
+def grouped(key: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, first rows of its groups) of rows equal in key and witness."""
+    order = np.argsort(key)
+    k, v = key[order], w[order]
+    same = k[1:] == k[:-1]
+    if (same & (v[1:] != v[:-1])).any():  # several phrases under one key
+        order = np.lexsort((w, key))
+        k, v = key[order], w[order]
+        same = (k[1:] == k[:-1]) & (v[1:] == v[:-1])
+    return order, np.flatnonzero(np.append(True, ~same))
+
+
+class Block:
+    """Occurrences of one task, added up by key when there are BLOCK of them."""
+
+    def __init__(self, bits: int, bucket_bits: int):
+        self.shift, self.held, self.size, self.totals = max(0, bits - bucket_bits), {}, 0, {}
+
+    def add(self, lang: str, key: np.ndarray, w: np.ndarray, p: np.ndarray) -> None:
+        if len(key):
+            self.held.setdefault(lang, []).append((key, w, p))
+            self.size += len(key)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for lang, parts in self.held.items():
+            key, w, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order, first = grouped(key, w)
+            key, w = key[order][first], w[order][first]
+            c = np.diff(np.append(first, len(order))).astype(np.int32)
+            yield self._rows(lang, key >> self.shift, key, c, np.minimum.reduceat(p[order], first), w)
+        for lang, n in self.totals.items():
+            one = np.full(1, -1, np.int64)
+            yield self._rows(lang, one, one, np.full(1, n, np.int32), one, np.zeros(1, np.int16))
+        self.held, self.size, self.totals = {}, 0, {}
+
+    @staticmethod
+    def _rows(lang: str, bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        ends = pa.array(np.append(first, len(bucket)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in columns]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array([lang] * len(first)), *lists],
+                                          ["bucket", "lang", "keys", "c", "p", "w"])
+
+
+def merge(least: int):
+    """Sums a bucket's arrays; returns the keys found at least ``least`` times."""
+    def settle(part: pd.DataFrame) -> pd.DataFrame:
+        made = []
+        for lang, rows in part.groupby("lang", sort=False):
+            key, c, p, w = (np.concatenate(rows[x].to_list()) for x in ("keys", "c", "p", "w"))
+            order = np.argsort(key)
+            key, w = key[order], w[order]
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            c = np.add.reduceat(c[order].astype(np.int64), first)
+            some = (c >= least) | (key[first] < 0)
+            one = np.minimum.reduceat(w, first) == np.maximum.reduceat(w, first)
+            made.append(pd.DataFrame({"lang": lang, "key": key[first][some], "c": c[some],
+                                      "p": np.minimum.reduceat(p[order], first)[some], "one": one[some]}))
+        return pd.concat(made)
+
+    return settle
+
+
+def count_keys(texts: DataFrame, n: int, parts: np.ndarray | None, least: int, bits: int, bucket_bits: int) -> DataFrame:
+    """COUNTS of the runs of ``n`` words whose parts are in ``parts`` (None: all), those found
+    at least ``least`` times. With ``n`` = 1 rows of key -1 have the words of each language."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints = Prints(bits)
+        prints, block = Prints(bits), Block(bits, bucket_bits)
         for batch in batches:
             code, names, hashes = lang_codes(batch)
-            h = batch.column("h").to_numpy()
+            names = names.to_pylist()
+            h = batch.column("h").to_numpy() >> NUMBER_BITS << NUMBER_BITS
             for words, text, number in text_words(batch):
                 lang, at = code[text], words.runs(n)
                 prints.load(words.data)
                 if parts is not None:
                     short = words.runs(n - 1)
                     hit = np.zeros(len(text), bool)
-                    hit[short] = in_set(parts, prints.keys(words.start[short], words.end[short + n - 2]),
+                    hit[short] = in_set(parts, prints.of(words.start[short], words.end[short + n - 2])[0],
                                         hashes[lang[short]])
                     at = at[hit[at] & hit[at + 1]]
-                key = prints.keys(words.start[at], words.end[at + n - 1])
-                order = np.lexsort((key, lang[at]))
-                at, key = at[order], key[order]
-                new = np.flatnonzero(np.concatenate([[True], (np.diff(key) != 0) | (np.diff(lang[at]) != 0)])[:len(key)])
-                if n == 1:
-                    total = np.bincount(lang, minlength=len(names))
-                    some = np.flatnonzero(total)
-                    zero = np.zeros(len(some), np.int32)
-                    yield rows(names, some, -np.ones(len(some), np.int64), total[some], zero, zero,
-                               zero.astype(np.int64), zero)
-                if len(new):
-                    witness = prints.witnesses(words.start[at], words.end[at + n - 1])
-                    yield rows(names, lang[at[new]], key[new], np.diff(np.append(new, len(key))),
-                               np.minimum.reduceat(witness, new), np.maximum.reduceat(witness, new),
-                               h[text[at[new]]], number[at[new]].astype(np.int32))
-
-    def rows(names: pa.Array, code: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([names.take(pa.array(code)), *map(pa.array, columns)],
-                                          ["lang", "key", "c", "low", "high", "h", "at"])
-
-    return texts.mapInArrow(scan, COUNTS).groupBy("lang", "key").agg(
-        F.sum("c").alias("c"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("h").alias("h"),
-        F.min_by("at", "h").alias("at"))
+                key, w = prints.of(words.start[at], words.end[at + n - 1])
+                p = h[text[at]] | (number[at] & ((1 << NUMBER_BITS) - 1))
+                found = lang[at]
+                for k in np.unique(lang):
+                    mine = found == k
+                    block.add(names[k], key[mine], w[mine], p[mine])
+                    if n == 1:
+                        block.totals[names[k]] = block.totals.get(names[k], 0) + int(mine.sum())
+                if block.size >= BLOCK:
+                    yield from block.flush()
+        yield from block.flush()
+
+    found = texts.mapInArrow(scan, PARTS)
+    # The rows of totals, a few for each block, are dealt by language and place.
+    deal = F.when(F.col("bucket") < 0, -1 - F.pmod(F.monotonically_increasing_id(), F.lit(64))).otherwise(F.col("bucket"))
+    return found.withColumn("bucket", deal).groupBy("bucket").applyInPandas(merge(least), COUNTS)
 
 
 def recount(texts: DataFrame, collided: DataFrame, n: int, filter_bits: int, bits: int) -> DataFrame:
@@ -230,7 +301,7 @@ def recount(texts: DataFrame, collided: DataFrame, n: int, filter_bits: int, bit
             for words, text, _ in text_words(batch):
                 lang, at = code[text], words.runs(n)
                 prints.load(words.data)
-                key = prints.keys(words.start[at], words.end[at + n - 1])
+                key = prints.of(words.start[at], words.end[at + n - 1])[0]
                 some = in_set(wanted, key, hashes[lang[at]])
                 at, data = at[some], words.data.tobytes()
                 phrase = [data[a:b].decode("utf-8") for a, b in zip(words.start[at], words.end[at + n - 1], strict=True)]
@@ -244,28 +315,32 @@ def recount(texts: DataFrame, collided: DataFrame, n: int, filter_bits: int, bit
 
 
 def materialise(texts: DataFrame, found: DataFrame, bits: int, broadcast_rows: int) -> DataFrame:
-    """(lang, words, phrase, f) of the rows (lang, key, words, c, h, at) of ``found``."""
-    asked = stored(found.groupBy("h").agg(F.collect_list(F.struct("lang", "key", "words", "at", "c")).alias("asked")),
-                   "phrases-asked")
+    """(lang, words, phrase, f) of the rows (lang, key, words, c, p) of ``found``."""
+    asked = stored(found.groupBy(F.shiftright("p", NUMBER_BITS).alias("h"))
+                   .agg(F.collect_list(F.struct("lang", "key", "words", "p", "c")).alias("asked")), "phrases-asked")
     ids = asked.select("h")
     ids = F.broadcast(ids) if asked.count() <= broadcast_rows else ids
-    named = texts.select("h", "text").join(ids, "h", "left_semi").distinct()
+    named = texts.select(F.shiftright("h", NUMBER_BITS).alias("h"), "text").join(ids, "h", "left_semi").distinct()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         prints = Prints(bits)
         for part in batches:
             for text, asks in zip(part["text"], part["asked"], strict=True):
                 words = [w for w in text.encode("utf-8").translate(SPACED).split(b" ") if w]
-                runs = [b" ".join(words[r["at"]:r["at"] + r["words"]]) for r in asks]
-                data = np.frombuffer(b" ".join(runs), np.uint8)
-                size = np.array([len(r) for r in runs])
-                end = np.cumsum(size + 1) - 1
-                prints.load(data)
-                # A text of the same hash that lacks the phrase is not the one meant.
-                same = prints.keys(end - size, end) == np.array([r["key"] for r in asks], np.int64)
-                yield pd.DataFrame([(r["lang"], r["words"], run.decode("utf-8"), r["c"])
-                                    for r, run, ok in zip(asks, runs, same, strict=True) if ok],
-                                   columns=["lang", "words", "phrase", "f"])
+                turn = 0
+                while asks is not None and len(asks) and turn < len(words):
+                    # Word numbers are known up to a multiple of 2^NUMBER_BITS.
+                    at = [turn + (r["p"] & ((1 << NUMBER_BITS) - 1)) for r in asks]
+                    runs = [b" ".join(words[i:i + r["words"]]) for i, r in zip(at, asks, strict=True)]
+                    end = np.cumsum([len(r) + 1 for r in runs]) - 1
+                    prints.load(np.frombuffer(b" ".join(runs), np.uint8))
+                    same = prints.of(np.append(0, end[:-1] + 1), end)[0] == np.array([r["key"] for r in asks], np.int64)
+                    yield pd.DataFrame([(r["lang"], r["words"], run.decode("utf-8"), r["c"])
+                                        for r, run, ok in zip(asks, runs, same, strict=True) if ok],
+                                       columns=["lang", "words", "phrase", "f"])
+                    # A text of the same hash that lacks the phrase is not the one meant.
+                    asks = [r for r, ok in zip(asks, same, strict=True) if not ok]
+                    turn += 1 << NUMBER_BITS
 
     return (named.join(asked, "h").mapInPandas(read, "lang string, words int, phrase string, f long")
             .dropDuplicates(["lang", "phrase"]))
@@ -278,17 +353,20 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, least: int = 10, text:
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     texts = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("und")).alias("lang"), body.alias("text"),
                         F.xxhash64(body).alias("h"))
+    # About six bytes a word: buckets of some BLOCK occurrences, and one for each task.
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bucket_bits = max(size // (6 * BLOCK), shuffle_parts(docs.sparkSession)).bit_length()
     levels, again, parts, totals = [], [], None, None
     for n in range(1, max_words + 1):
-        level = stored(count_keys(texts, n, parts, bits).where((F.col("c") >= least) | (F.col("key") < 0)), f"phrases-{n}")
+        level = stored(count_keys(texts, n, parts, least, bits, min(bits, bucket_bits)), f"phrases-{n}")
         if n == 1:
-            totals = level.where("key < 0").select("lang", F.col("c").alias("n"))
+            totals = level.where("key < 0").groupBy("lang").agg(F.sum("c").alias("n"))
             level = level.where("key >= 0")
-        collided = level.where("low != high")
+        collided = level.where("not one")
         if collided.head(1):
             recounted = recount(texts, collided, n, filter_bits, bits).where(F.col("f") >= least)
             again.append(recounted.select("lang", F.lit(n).alias("words"), "phrase", "f"))
-        levels.append(level.where("low = high").select("lang", "key", F.lit(n).alias("words"), "c", "h", "at"))
+        levels.append(level.where("one").select("lang", "key", F.lit(n).alias("words"), "c", "p"))
         if n < max_words:
             parts = bit_set(level, filter_bits)
     found = levels[0]

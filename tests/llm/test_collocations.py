@@ -94,6 +94,18 @@ def test_cuts_cover_long_texts():
     assert whole == texts
 
 
+def test_pointers_of_few_bits_and_small_blocks(spark, monkeypatch):
+    # Text hashes of 60 bits, word numbers of 4, so that most numbers wrap round.
+    monkeypatch.setattr(co, "NUMBER_BITS", 4)
+    rows = [("a b c d e f g h. " * 9 + "x y z, " * k, "en") for k in range(5)]
+    docs = spark.createDataFrame([(None, t, lg, None, 0) for t, lg in rows], DOCS)
+    texts = docs.select("lang", "text", F.xxhash64("text").alias("h"))
+    level = co.count_keys(texts, 2, None, 5, 62, 3)
+    found = co.materialise(texts, level.select("lang", "key", F.lit(2).alias("words"), "c", "p"), 62, 100)
+    want = Counter(p for t, _ in rows for x in re.split("[.,]", t) for p in zip(x.split(), x.split()[1:]))
+    assert {r.phrase: r.f for r in found.collect()} == {" ".join(p): n for p, n in want.items() if n >= 5}
+
+
 def test_exact_scores_of_huge_counts(spark):
     rows = [("x", 1, "a", 10**13), ("x", 1, "b", 10**13 - 1), ("x", 2, "a b", 10**13 - 7)]
     phrases = spark.createDataFrame(rows, "lang string, words int, phrase string, f long")
