@@ -9,9 +9,6 @@ rejected as depleted, as is one that fails the base rules.
 Distinct documents are distinct texts: exact copies count once, texts that differ
 anywhere count each, however many lines they share.
 
-``ORACLE_SQL`` counts otherwise: documents once per value of the smallest hash among
-their other lines. The two differ where pages share boilerplate lines.
-
 DataFrame expressions only. Counts are aggregated before they are shuffled; the
 frequent lines meet the documents' lines in ``lookup_join``, which broadcasts at
 most 1,024 hot lines and shuffles the rest; no group of lines or of copies is
@@ -147,13 +144,7 @@ lines AS (
                                  '[0-9]+', '0', 'g')), 16) AS h
   FROM ln WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 dl AS (SELECT r, (count(*) - count(DISTINCT l))::bigint AS n FROM lines GROUP BY r),
-lm AS (
-  SELECT r, min(h) AS m1, min(h) FILTER (WHERE h <> mm) AS m2
-  FROM (SELECT r, h, min(h) OVER (PARTITION BY r) AS mm FROM lines) GROUP BY r),
-fam AS (
-  SELECT l.source, l.h, CASE WHEN l.h = m.m1 THEN coalesce(m.m2, l.th) ELSE m.m1 END AS k
-  FROM lines l JOIN lm m USING (r)),
-freq AS (SELECT source, h FROM fam GROUP BY source, h HAVING count(DISTINCT k) > 50),
+freq AS (SELECT source, h FROM lines GROUP BY source, h HAVING count(DISTINCT th) > 50),
 boil AS (
   SELECT l.r, sum(l.n)::bigint AS n FROM lines l
   JOIN freq f ON l.h = f.h AND l.source IS NOT DISTINCT FROM f.source GROUP BY l.r),
