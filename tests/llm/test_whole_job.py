@@ -44,7 +44,7 @@ def test_linked_hosts_without_pages_are_seeds_by_their_rule(spark):
             (3, "http://c.com/x", "<a href='http://example.net/other'>"),
             (4, "http://d.com/x", "<a href='http://plain.com/'>")]
     for pages in (rows[:2] + rows[3:], rows[2:]):
-        got = url_graph.url_filter(spark.createDataFrame(pages, PAGES), rounds=2, linked_seeds=True).collect()
+        got = url_graph.url_filter(spark.createDataFrame(pages, PAGES), rounds=2).collect()
         assert {r["page_id"]: r["verdict"] for r in got} == {
             i: {1: "block", 2: "allow", 3: "block", 4: "allow"}[i] for i, _, _ in pages}
 
