@@ -16,7 +16,8 @@ batches.
 Defined results: NULL and empty texts have no words and are scored by their layout
 alone; NULL grades and ids are not used for fitting, repeated labels count with
 their lowest grade; with labels of fewer than two grades every document is
-selected with expected grade and tails NULL; repeated rows each get a row; an
+selected with expected grade and tails NULL; of the texts of a repeated labelled id one
+is fitted; texts of any length are scored whole; repeated rows each get a row; an
 empty table gives no rows. Other columns pass through unread.
 """
 
@@ -31,6 +32,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import shuffle_parts
+
 RATING = "struct<expected_grade:double,tails:array<double>>"
 SYMBOLS = frozenset("#*$%&|<>!")
 BINS = 12
@@ -146,7 +149,10 @@ def fit(docs: DataFrame, grades: DataFrame, bits: int = 18, max_rows: int = 8_00
             yield pd.DataFrame({"id": part["id"], "grade": part["grade"], "places": [m[0] for m in made],
                                 "vals": [m[1].astype(np.float32) for m in made]})
 
+    # One row per id, that of the smallest text hash: an id may stand in any number of rows.
     rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(ids), "_id")
+            .groupBy("_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+            .repartition(shuffle_parts(docs.sparkSession))
             .select(F.col("_id").cast("string").alias("id"), "text", "grade")
             .mapInPandas(vectors, "id string, grade int, places array<int>, vals array<float>").toPandas())
     rows = rows.sort_values(["id", "grade"], kind="stable")

@@ -144,6 +144,15 @@ def _significance_rate(weights: dict[str, float], shares: dict[float, float], dr
     return max(low, 0.05)
 
 
+def _significance_constant(best: list[tuple[int, float]], rate: float) -> float:
+    """K of the extreme-value law P(best < s) = exp(-K n exp(-λ s)), by maximum likelihood
+    from (words n, best segment score) of other documents; score 0: no segment, so the
+    best is only known to lie below 0. Between 1e-9 and 1, half a segment if there is none."""
+    found = sum(1 for _, s in best if s > 0)
+    mass = sum(n * math.exp(-rate * s) if s > 0 else n for n, s in best)
+    return min(1.0, max(1e-9, (found or 0.5) / mass)) if mass else 0.2
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
     """Two-feature logistic curve by damped Newton steps, lightly regularised."""
     a = np.hstack([np.ones((len(x), 1)), x])
@@ -169,8 +178,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, doc_id: str
            .where(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~is_held_out(F.col("_id")))
            .groupBy("_id").agg(F.max("_y").alias("y"))
            .withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(max_rows))
+    # One row per id, that of the smallest text hash: an id may stand in any number of rows.
     return (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
             .join(F.broadcast(ids), "_id")
+            .groupBy("_id", "y", "_h").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
             .select("text", "y", F.pmod("_h", F.lit(5)).cast("int").alias("part")))
 
 
@@ -233,6 +244,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_units: i
     top = max(model.weights.values(), default=1.0)
     shares = {s: k / words for s, k in hits.items()} | ({} if hits else {round(top, 2): 0.5 / words})
     model.rate = _significance_rate(model.weights, shares, drift)
+    model.constant = _significance_constant(
+        [(r["n"], max(r["segs"], default=0.0)) for r in held if not r["y"] and r["n"]], model.rate)
     x = np.array([model.evidence(r["n"], [(0, 0, s) for s in r["segs"]])[0] for r in held]).reshape(-1, 2)
     y = np.array([float(r["y"]) for r in held])
     if len(y) and 0 < y.sum() < len(y):
