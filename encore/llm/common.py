@@ -74,9 +74,10 @@ def hash_of(df: DataFrame, columns: list[str]) -> Column:
     return F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in columns if "map<" not in kinds[c]])
 
 
-def ranked(rows: DataFrame, group: Column, order: list[Column], tag: str) -> DataFrame:
-    """(row, place, total): each row of ``rows`` as a struct with its exact place, from 0, in
-    the order ``order`` inside its ``group`` (an expression of no NULLs), and the group's rows.
+def ranked(rows: DataFrame, group: Column, order: list[Column], tag: str, value: Column | None = None) -> DataFrame:
+    """(row, grp, place, total): each row of ``rows`` as a struct, its ``group`` (an expression
+    of no NULLs), its exact place in the order ``order`` inside the group, from 0, and the
+    group's rows. With ``value`` (whole numbers) these count values instead of rows.
 
     No window holds a whole group: the rows are written, cut by range into ordered parts
     and written again, and a row's place is its place inside (part, group) plus the
@@ -86,19 +87,20 @@ def ranked(rows: DataFrame, group: Column, order: list[Column], tag: str) -> Dat
     """
     spark = rows.sparkSession
     held = stored(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"),
-                              group.alias("grp"),
+                              group.alias("grp"), (F.lit(1) if value is None else value).cast("long").alias("v"),
                               *[o.alias(f"o{k}") for k, o in enumerate(order)]), f"{tag}-rows")
     keys = [f"o{k}" for k in range(len(order))] + ["file", "line"]
     cut = stored(held.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("line"))
                  .repartitionByRange(shuffle_parts(spark), "grp", *keys)
                  .withColumn("part", F.spark_partition_id()), f"{tag}-parts")
     ahead = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (cut.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("n"))
+    starts = (cut.groupBy("grp", "part").agg(F.sum("v").alias("n"))
               .select("grp", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).cast("long").alias("start"),
                       F.sum("n").over(Window.partitionBy("grp")).alias("total")))
-    inside = Window.partitionBy("grp", "part").orderBy(*keys)
-    placed = cut.withColumn("inside", F.row_number().over(inside).cast("long") - F.lit(1))
-    return placed.join(starts, ["grp", "part"]).select("row", (F.col("start") + F.col("inside")).alias("place"), "total")
+    before = Window.partitionBy("grp", "part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    placed = cut.withColumn("inside", F.coalesce(F.sum("v").over(before), F.lit(0)).cast("long"))
+    return placed.join(starts, ["grp", "part"]).select(
+        "row", "grp", (F.col("start") + F.col("inside")).alias("place"), "total")
 
 
 def lookup_join(big: DataFrame, small: DataFrame, keys: list[str], weight: str,

@@ -137,15 +137,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 15, simil
     verdict = F.struct("contaminated", "n_items", "overlap")
     clean = F.struct(F.lit(False).alias("contaminated"), F.lit(0).cast("long").alias("n_items"),
                      F.lit(0.0).alias("overlap"))
-    keyed = docs.withColumn("_text_key", key)
+    # The row in one column, so that no column of it can clash.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"))
     if judged.count() <= broadcast_rows:
-        both = keyed.join(F.broadcast(judged.select(F.col("key").alias("_text_key"), verdict.alias("_verdict"))),
-                          "_text_key", "left")
+        both = keyed.join(F.broadcast(judged.select("key", verdict.alias("verdict"))), "key", "left")
     else:
-        copies = docs.select(key.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("_copies"))
-        both = lookup_join(keyed, judged.join(copies, "key").select(
-            F.col("key").alias("_text_key"), verdict.alias("_verdict"), "_copies"), ["_text_key"], "_copies")
-    return both.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("_verdict", clean).alias(out))
+        copies = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+        both = lookup_join(keyed, judged.join(copies, "key").select("key", verdict.alias("verdict"), "copies"),
+                           ["key"], "copies")
+    return both.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], F.coalesce("verdict", clean).alias(out))
 
 
 def contamination_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

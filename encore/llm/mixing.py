@@ -6,15 +6,15 @@ schedule's integral ``(1 - k)t + kt²`` is the part of the target demanded up to
 ``t``; inverting it at a document's cumulative token share gives the document's
 training position, and documents are range-sorted by it.
 
-Everything is DataFrame expressions. The running total inside a source is split:
-documents fall into buckets by the leading digits of a hash of their id, one
-window runs over the bucket totals, another inside each bucket, so a source with
-a third of all rows is spread over all its buckets.
+Everything is DataFrame expressions. The running total inside a source, in the order
+of a hash of the ids, comes from ``common.ranked``: its windows hold one range of
+that order, so neither a source nor an id with a third of all rows is in one task.
 
 Defined results: NULL and blank texts have size 0 and take no words; a NULL
 source is a source of its own and sorts last; a source of size 0 has target 0;
 NULL ids hash as the empty text; repeated rows are separate documents (equal
-rows are interchangeable); an empty table gives no rows.
+rows are interchangeable); texts of any length are counted whole; an empty table
+gives no rows. Columns other than those named and those of ``keep`` are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, word_count
+from .common import lookup_join, ranked, word_count
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
@@ -73,36 +73,27 @@ def _clamp(x: Column, most: Column) -> Column:
 def curriculum_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     source: str = "source", weights: tuple[int, ...] = (5, 2, 1),
                     drifts: tuple[float, ...] = (-0.5, 0.0, 0.5), share: float = 1.5,
-                    cap: float = 2.0, digits: int = 3) -> DataFrame:
+                    cap: float = 2.0, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken,
-    position, repeat_position.
+    position, repeat_position and ``kept``, a struct of the columns ``keep``, if any.
 
     Documents of a source enter in the order of md5(doc_id); the first pass takes
     words up to the target, a second pass what is left of it (``cap`` of 2 needs
     no third), and the document at which the target is met gives part of its
     words. ``position`` and ``repeat_position`` are the training times at which
-    the two copies start, NULL where a copy is not taken. ``digits`` sets the
-    16**digits buckets of a source.
+    the two copies start, NULL where a copy is not taken.
     """
-    h = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
-    sizes = stored(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
-        word_count(F.col(text)).alias("size"), h.alias("_h"),
-        F.substring(h, 1, digits).alias("_bucket")), "mix-sizes")
-    buckets = sizes.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
-    targets = source_targets(buckets.groupBy("source").agg(F.sum("_words").alias("source_size")),
-                             weights, share, cap)
-    ahead = (Window.partitionBy("source").orderBy("_bucket")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    starts = (buckets.withColumn("_start", F.coalesce(F.sum("_words").over(ahead), F.lit(0).cast("long")))
-              .select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_start"))
-    targets = targets.withColumnRenamed("source", "_t")
-    starts = starts.join(targets, F.col("_s").eqNullSafe(F.col("_t"))).drop("_t")
-    inside = (Window.partitionBy("source", "_bucket").orderBy("_h", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    rows = (sizes.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
-            .join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
-            .withColumn("_before", F.col("_start") + F.col("_in"))
+    h = F.md5(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("")).cast("binary"))
+    kept = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []
+    sizes = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
+                        word_count(F.col(f"`{text}`")).alias("size"), h.alias("h"), *kept)
+    placed = ranked(sizes, F.struct("source"), [F.col("h"), F.col("doc_id"), F.col("size")], "mix", F.col("size"))
+    sources = placed.groupBy("grp").agg(F.max("total").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+    targets = source_targets(sources.select(F.col("grp.source").alias("source"), "source_size"), weights, share, cap)
+    targets = (targets.select(F.struct("source").alias("grp"), "source_size", "target", "_class")
+               .join(sources.select("grp", "_rows"), "grp"))
+    rows = (lookup_join(placed.select("row", "grp", F.col("place").alias("_before")), targets, ["grp"], "_rows")
+            .select("row.*", "source_size", "target", "_class", "_before")
             .withColumn("_goal", F.floor("target").cast("long"))
             .withColumn("_first", _clamp(F.col("_goal") - F.col("_before"), F.col("size")))
             .withColumn("_again", _clamp(F.col("_goal") - F.col("source_size") - F.col("_before"),
@@ -117,7 +108,8 @@ def curriculum_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", "source", "size", "source_size", "target",
         (F.col("_first") + F.col("_again")).alias("taken"),
         position(F.col("_before"), "_first").alias("position"),
-        position(F.col("source_size") + F.col("_before"), "_again").alias("repeat_position"))
+        position(F.col("source_size") + F.col("_before"), "_again").alias("repeat_position"),
+        *(["kept"] if keep else []))
 
 
 def training_order(plan: DataFrame) -> DataFrame:

@@ -286,19 +286,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks:
         F.col("component").alias("component_id"))
 
 
-def first_rows(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, shard_size: int = 2_048,
-               doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, hash, copies): per group of fingerprints the smallest (doc_id, md5 of the
-    text), NULL ids last, and the number of rows that hold it."""
+def group_decisions(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, shard_size: int = 2_048,
+                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, hash, copies, stays): what becomes of the rows of each (doc_id, md5 of the
+    text) in a group of more than one row. The smallest key, NULL ids last, stays (one
+    row of it); rows of other keys go. Rows that stand alone have no decision."""
     key = F.struct(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("id"), text_hash(text).alias("hash"))
     prints = fingerprints(docs.select(key.alias("doc_id"), F.col(text).alias("text")), shingle)
     rows = stored(prints.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("copies")), "simhash-rows")
-    nodes = stored(rows.groupBy("fp").agg(F.min(F.struct("doc_id", "copies")).alias("first"))
-                   .select("fp", F.col("first.doc_id.id").alias("id"), "first"), "simhash-nodes")
+    nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.sum("copies").alias("copies"))
+                   .select("fp", F.col("first.id").alias("id"), "first", "copies"), "simhash-nodes")
     groups = components(nodes.select("fp", "id"), links(nodes.select("fp"), radius, blocks, shard_size))
-    return (groups.join(nodes.select("fp", "first"), "fp").groupBy("label").agg(F.min("first").alias("first"))
-            .select(F.col("first.doc_id.id").alias("doc_id"), F.col("first.doc_id.hash").alias("hash"),
-                    F.col("first.copies").alias("copies")))
+    winners = (groups.join(nodes.select("fp", "first", "copies"), "fp").groupBy("label")
+               .agg(F.min("first").alias("winner"), F.sum("copies").alias("_rows")).where(F.col("_rows") > 1))
+    of = stored(groups.select("fp", "label").join(winners, "label").join(nodes.select("fp", "copies"), "fp")
+                .select("fp", "winner", "copies"), "simhash-winners")
+    return lookup_join(rows, of.withColumnRenamed("copies", "_n"), ["fp"], "_n").where(F.col("winner").isNotNull()).select(
+        F.col("doc_id.id").alias("doc_id"), F.col("doc_id.hash").alias("hash"), "copies",
+        (F.col("doc_id") == F.col("winner")).alias("stays"))
 
 
 def text_hash(text: str) -> Column:

@@ -255,15 +255,16 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", out:
     # A text's many ranges become a few spans before they meet the texts.
     spans = stored(starts.groupBy("h", "n").agg(F.collect_list(F.struct("first", "last")).alias("r"))
                    .select("h", "n", merged("r").alias("spans")), "suffix-spans")
-    t = F.coalesce(F.col(text), F.lit(""))
-    keyed = docs.withColumns({"_h": F.xxhash64(t), "_n": F.octet_length(t).cast("int")})
-    spans = spans.select(F.col("h").alias("_h"), F.col("n").alias("_n"), F.col("spans").alias("_spans"))
-    size = spans.agg(F.count(F.lit(1)), F.sum(F.size("_spans"))).first()
+    t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    # The row in one column, so that no column of it can clash.
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("t"),
+                        F.xxhash64(t).alias("h"), F.octet_length(t).cast("int").alias("n"))
+    size = spans.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
     if size[0] <= broadcast_rows and (size[1] or 0) <= 4 * broadcast_rows:
-        joined = keyed.join(F.broadcast(spans), ["_h", "_n"], "left")
+        joined = keyed.join(F.broadcast(spans), ["h", "n"], "left")
     else:
-        copies = keyed.groupBy("_h", "_n").agg(F.count(F.lit(1)).alias("_copies"))
-        joined = lookup_join(keyed, spans.join(copies, ["_h", "_n"]), ["_h", "_n"], "_copies")
+        copies = keyed.groupBy("h", "n").agg(F.count(F.lit(1)).alias("copies"))
+        joined = lookup_join(keyed, spans.join(copies, ["h", "n"]), ["h", "n"], "copies")
 
     @F.pandas_udf("binary")
     def kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -277,10 +278,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", out:
                 out.append(b"".join([*pieces, data[at:]]))
             yield pd.Series(out, dtype=object)
 
-    made = F.struct(F.col("_n").cast("long").alias("n_bytes"),
-                    F.coalesce("_spans", F.array().cast(kind)).alias("spans"),
-                    kept(F.col(text), F.col("_spans")).alias("kept"))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], made.alias(out))
+    made = F.struct(F.col("n").cast("long").alias("n_bytes"),
+                    F.coalesce("spans", F.array().cast(kind)).alias("spans"),
+                    kept(F.col("t"), F.col("spans")).alias("kept"))
+    return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], made.alias(out))
 
 
 def suffix_query(docs: DataFrame) -> DataFrame:

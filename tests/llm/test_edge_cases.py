@@ -95,6 +95,49 @@ def test_operators_keep_clashing_columns(spark, tmp_path):
         assert {r["key"] for r in out.select("key").collect()} == {"mine-key"}
 
 
+HELPERS = ["_h", "_n", "_spans", "_text_key", "_hash", "_rating", "_found", "_clean", "_verdict", "_hot", "_hv", "_cv",
+           "_v", "_copies", "row", "t", "verdict", "spans", "clean", "rating", "hash", "copies", "stays", "file", "line"]
+
+
+def test_helper_columns_leave_clashing_input_alone(spark, tmp_path):
+    d = tables(spark, tmp_path)
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("*", *[F.lit(f"mine-{c}").alias(c) for c in HELPERS])
+    bench = spark.read.parquet(f"{d}/benchmark.parquet")
+    made = {"clean": decontaminate.decontaminate(docs, bench, out="added"),
+            "far": decontaminate.decontaminate(docs, bench, out="added", broadcast_rows=0),
+            "cut": suffix_dedup.remove_repeats(docs, out="added"),
+            "cut-far": suffix_dedup.remove_repeats(docs, out="added", broadcast_rows=0)}
+    made |= {name: stage(spark, docs, d) for name, stage in corpus_pipeline.STAGES[:-1]}
+    for name, df in made.items():
+        found = df.select(*HELPERS).distinct().collect()
+        assert [tuple(r) for r in found] == [tuple(f"mine-{c}" for c in HELPERS)], name
+    last = corpus_pipeline.mix(spark, docs, d)
+    assert sorted((r["text"] for r in last.collect()), key=repr) == sorted((r[1] for r in ROWS), key=repr)
+
+
+def test_one_labelled_id_in_many_rows(spark):
+    """However many rows hold a labelled id, one of them is fitted."""
+    rows = [(1, f"other text number {k}", "en", "s", 0) for k in range(50)] + [(2, "idiot loser", "en", "s", 0)] * 50
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1)], LABELS)
+    assert toxicity.training_rows(docs, labels, 100).count() <= 2
+    model = quality_ordinal.fit(docs, quality_ordinal.label_grades(labels), max_rows=10)
+    assert all(r["selected"] is not None for r in quality_ordinal.rate(docs, model).select(
+        quality_ordinal.selected("rating").alias("selected")).collect())
+
+
+def test_mixing_splits_a_null_id(spark):
+    """Most rows hold no id: places are exact, whatever the range parts."""
+    docs = spark.range(600).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"),
+                                   F.when(F.col("id") % 2 == 0, "s").alias("source"), F.lit("two words").alias("text"))
+    plan = mixing.curriculum_plan(docs).collect()
+    assert len(plan) == 600
+    for source in ("s", None):
+        mine = [r for r in plan if r["source"] == source]
+        assert sum(r["taken"] for r in mine) == int(mine[0]["target"])
+        assert all(0 <= r["taken"] <= 4 for r in mine)
+
+
 def test_stages_keep_the_columns_and_run_on_odd_and_empty_rows(spark, tmp_path):
     d = tables(spark, tmp_path / "a")
     docs = spark.read.parquet(f"{d}/documents.parquet")
@@ -128,7 +171,7 @@ def test_url_filter_on_odd_pages(spark):
     assert sorted(got, key=repr) == sorted([
         (1, "", "", None, "allow"), (2, "", "", None, "allow"), (3, "", "", None, "allow"),
         (None, "x.net", "/a", "net/", "block"), (4, "a.example.net", "/en/x", "example.net/en/", "allow"),
-        (4, "a.example.net", "/en/x", "example.net/en/", "allow"), (5, "net", "", None, "allow"),
+        (4, "a.example.net", "/en/x", "example.net/en/", "allow"), (5, "net", "", None, "block"),  # links to a host of a blocked domain
         (6, "b.org", "/fr/", "org/fr/", "allow"), (7, "b:", "//c.net/p", None, "allow")], key=repr)
     assert url_graph.url_filter(pages.where("false")).collect() == []
 
