@@ -416,13 +416,19 @@ def collocations(docs: DataFrame, max_words: int = 3, least: int = 10, top: int
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` candidates of each language.
 
     A candidate that lies inside a longer one with at least ``contained`` percent of its
-    count is dropped. The report's window gets ``top`` rows of each task at most.
+    count is dropped.
     """
     phrases, totals = frequent_phrases(docs, max_words, least, **options)
     whole = (scored_cuts(phrases).join(explained(phrases), ["lang", "phrase"], "left")
              .where(F.col("most").isNull() | (F.lit(100) * F.col("most") < F.lit(contained) * F.col("a"))))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    first = whole.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    # The first of each of 64 salts, then the first of those: however many tasks hold a
+    # language, the last window gets at most 64 * top rows of it.
+    for by in (["lang", "salt"], ["lang"]):
+        whole = (whole.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+                 .withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+                 .where(F.col("rank") <= top))
+    first = whole
     return first.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
