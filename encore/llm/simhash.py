@@ -299,8 +299,8 @@ def group_decisions(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks:
     groups = components(nodes.select("fp", "id"), links(nodes.select("fp"), radius, blocks, shard_size))
     winners = (groups.join(nodes.select("fp", "first", "copies"), "fp").groupBy("label")
                .agg(F.min("first").alias("winner"), F.sum("copies").alias("_rows")).where(F.col("_rows") > 1))
-    of = stored(groups.select("fp", "label").join(winners, "label").join(nodes.select("fp", "copies"), "fp")
-                .select("fp", "winner", "copies"), "simhash-winners")
+    of = lookup_join(groups.select("fp", "label"), winners, ["label"], "_rows").where(F.col("winner").isNotNull())
+    of = stored(of.join(nodes.select("fp", "copies"), "fp").select("fp", "winner", "copies"), "simhash-winners")
     return lookup_join(rows, of.withColumnRenamed("copies", "_n"), ["fp"], "_n").where(F.col("winner").isNotNull()).select(
         F.col("doc_id.id").alias("doc_id"), F.col("doc_id.hash").alias("hash"), "copies",
         (F.col("doc_id") == F.col("winner")).alias("stays"))
