@@ -454,6 +454,8 @@ def _on_list(key: str, fixture: str, made: str) -> str:
 
 
 _TRACKS, _ARTISTS = "user_top_tracks", "user_top_artists"
+_PLAYS_ORDER = """track_name ASC NULLS FIRST, artist_name ASC NULLS FIRST,
+                                      l_orderkey ASC NULLS FIRST, l_linenumber ASC NULLS FIRST"""
 SUITE_SQL = {
     "popularity": {"top_20_artists": ORACLE["top_artists"], "top_20_tracks": ORACLE["top_tracks"],
                    "top_20_albums": ORACLE["top_albums"], "same_top1_artist": ORACLE["same_top1_artist"],
@@ -464,7 +466,8 @@ SUITE_SQL = {
                      "artist_track_overlap": ORACLE["artist_track_overlap"],
                      "artist_average_position": ORACLE["artist_average_position"],
                      "top1_in_global_top5_frequency": ORACLE["top1_in_global_top5"],
-                     "position_stability_users": "SELECT 1"},
+                     "position_stability_users": _on_list("position_stability", "plays_by_region", _ARTISTS).replace(
+                         _PLAYS_ORDER, "artist_name ASC NULLS FIRST")},
     "counts": {**{f"user_{k}_{w}": ORACLE[f"user_{k}_{w}"] for k in ("artist", "track", "album")
                   for w in ("counts", "stats")},
                "unique_items": ORACLE["unique_items"],
@@ -475,10 +478,44 @@ SUITE_SQL = {
 }
 
 
+# Columns of the results; those of DOUBLES are compared to four decimals.
+_SHAPES = {
+    "artist_name users_count percentage": ("top_20_artists", "same_top1_artist"),
+    "track_name users_count percentage": ("top_20_tracks",),
+    "album_name users_count percentage": ("top_20_albums",),
+    "metric value": ("artist_mention_stats", "user_artist_stats", "user_track_stats", "user_album_stats"),
+    "total_artists artists_in_tail tail_percentage": ("long_tail_80",),
+    "problem affected_users": ("data_quality",),
+    "user_id items_count percentile": ("outlier_users",),
+    "artist_name mentions": ("low_coverage_artists",),
+    "artist1 artist2 pair_count": ("top_50_artist_pairs",),
+    "artist1 artist2 artist3 triplet_count": ("top_50_artist_triplets",),
+    "overlap_count total_users overlap_ratio": ("artist_track_overlap",),
+    "artist_name avg_position user_count": ("artist_average_position",),
+    "matched_users total_users ratio": ("top1_in_global_top5_frequency",),
+    "stable_users total_users ratio": ("position_stability_users",),
+    "user_id artist_count": ("user_artist_counts",),
+    "user_id track_count": ("user_track_counts",),
+    "user_id album_count": ("user_album_counts",),
+    "unique_artists unique_tracks unique_albums": ("unique_items",),
+    "top1 top2 top3 user_count": ("users_same_top3_from_top10",),
+    "user_id main_artist track_count": ("users_top5_single_artist",),
+    "artist_name active_users": ("top_artists_active_users",),
+    "artist_name mentions_in_artists mentions_in_tracks difference": ("cross_popularity_artists",),
+    "artist_name distinct_users distinct_tracks": ("artists_diversity",),
+}
+RESULT_COLUMNS = {name: columns.split() for columns, names in _SHAPES.items() for name in names}
+DOUBLES = {"percentage", "value", "tail_percentage", "percentile", "overlap_ratio", "avg_position", "ratio"}
+
+
 def _suite_rows(*groups: str) -> str:
-    """(result, rows): each result with the number of rows that its SQL returns."""
-    return "\nUNION ALL\n".join(f"SELECT '{name}' AS result, (SELECT count(*) FROM ({sql}\n) m) AS rows"
-                                for g in groups for name, sql in SUITE_SQL[g].items())
+    """(result, rows, content): rows of each result's SQL, and the sum of its rows' hashes."""
+    def one(name: str, sql: str) -> str:
+        cells = ", ".join(f"coalesce({f'round({c} * 10000)::BIGINT' if c in DOUBLES else c}::VARCHAR, '~')"
+                          for c in sorted(RESULT_COLUMNS[name]))
+        return (f"SELECT '{name}' AS result, count(*) AS rows, coalesce(sum(('0x' || left(md5(concat_ws('|', {cells})), 8))"
+                f"::BIGINT), 0)::BIGINT AS content FROM ({sql}\n) m")
+    return "\nUNION ALL\n".join(one(name, sql) for g in groups for name, sql in SUITE_SQL[g].items())
 
 
 ORACLE["suite_full"] = _suite_rows(*SUITE_SQL)
