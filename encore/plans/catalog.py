@@ -144,7 +144,7 @@ def _q_pairs(t: Lists) -> DataFrame:
 
 @query("artist_triplets")
 def _q_triplets(t: Lists) -> DataFrame:
-    return co.artist_triplets(t.user_ranked_artists)
+    return co.artist_triplets(t.user_top10_artists)
 
 
 @query("artist_track_overlap")
@@ -300,7 +300,7 @@ def _q_pairs_null_user(t: Lists) -> DataFrame:
 @query("triplets_null_user")
 def _q_triplets_null_user(t: Lists) -> DataFrame:
     """M14 over the ranked list with a NULL user, split above 20 items."""
-    ranked = _with_null_user(t.user_ranked_artists).where("rank <= 10")
+    ranked = _with_null_user(t.user_top10_artists)
     return co.top_combinations(ranked, 3, 50, max_set=20, budget=50_000, count_col="triplet_count")
 
 
@@ -313,7 +313,9 @@ def _with_null_user(lists: DataFrame) -> DataFrame:
 def _export_csvs(t: Lists, raw_dir: str) -> None:
     """The driver-derived lists as the CSV exports that the loader expects, with bad
     rows: repeated rows, rows without a user, an extra field, text for a number."""
-    artists = t.user_ranked_artists
+    # Written once: the export reads it several times.
+    t.user_ranked_artists.write.parquet(f"{raw_dir}/_ranked")
+    artists = t.tables.spark.read.parquet(f"{raw_dir}/_ranked")
     lines = artists.select(
         F.col("user_id").alias("u"),
         F.concat_ws(",", F.coalesce(F.col("user_id").cast("string"), F.lit("")), F.concat(

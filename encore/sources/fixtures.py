@@ -83,6 +83,12 @@ def user_ranked_artists(t: DriverTables, p: DataFrame | None = None) -> DataFram
     return _aggregate_list(p, ["artist_name"], ["artist_name"], True)
 
 
+def user_top10_artists(t: DriverTables, p: DataFrame | None = None) -> DataFrame:
+    """The rows of ``user_ranked_artists`` of the first ten ranks; the window's group limit
+    keeps ten rows of a user in each task."""
+    return rank_within_user(user_top_artists(t, p), ["artist_name"], 10, rank_col="rank")
+
+
 def user_top_tracks(t: DriverTables, p: DataFrame | None = None) -> DataFrame:
     p = p if p is not None else plays(t)
     return _aggregate_list(p, ["track_name", "artist_name"], ["track_name", "artist_name"], False)
