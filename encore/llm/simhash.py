@@ -242,7 +242,7 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> Data
     # A label is the fingerprint that stands for the group: the one of smallest (id, fp).
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("fp").alias("fp"))
     labels = stored(nodes.join(inside, "fp", "left_semi").select("fp", order.alias("label")), "simhash-labels")
-    for _ in range(max_rounds):
+    for _ in range(max_rounds):  # each halves the linked groups at least: enough for 2^64 fingerprints
         near = (both.join(labels, F.col("a") == F.col("fp")).select(F.col("b").alias("fp"), "label")
                 .groupBy("fp").agg(F.min("label").alias("seen")))
         # Each group hooks onto the smallest label that any member saw.

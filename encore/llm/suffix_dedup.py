@@ -257,7 +257,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", out:
                    .select("h", "n", merged("r").alias("spans")), "suffix-spans")
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     # The row in one column, so that no column of it can clash.
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("t"),
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.xxhash64(t).alias("h"), F.octet_length(t).cast("int").alias("n"))
     size = spans.agg(F.count(F.lit(1)), F.sum(F.size("spans"))).first()
     if size[0] <= broadcast_rows and (size[1] or 0) <= 4 * broadcast_rows:
@@ -280,7 +280,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", out:
 
     made = F.struct(F.col("n").cast("long").alias("n_bytes"),
                     F.coalesce("spans", F.array().cast(kind)).alias("spans"),
-                    kept(F.col("t"), F.col("spans")).alias("kept"))
+                    kept(F.col(f"row.`{text}`"), F.col("spans")).alias("kept"))
     return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], made.alias(out))
 
 
