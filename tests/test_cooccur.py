@@ -282,3 +282,26 @@ def test_buckets_cut_twice_are_an_error(spark, artists):
         assert got == want
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_a_giant_user_is_looked_up_not_enumerated(artists, size):
+    """The NULL user has 3000 items: 4.5 billion triples that no run could count one by one."""
+    rnd = random.Random(17)
+    pool = [f"a{i:04d}" for i in range(3000)]
+    held = [rnd.sample(pool[:2990], 6) + rnd.sample(pool[:12], 4) for _ in range(120)]
+    data = [(f"u{u}", a, 1, r + 1) for u, items in enumerate(held) for r, a in enumerate(items)]
+    counts = Counter(c for items in held for c in itertools.combinations(sorted(set(items)), size))
+    data += [(None, a, 1, 1) for a in pool[5:]]
+    counts = {c: n + all(a >= "a0005" for a in c) for c, n in counts.items()}
+    want = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:40]
+    out = co.top_combinations(artists(data), size, 40, count_col="n")
+    assert rows(out) == [(*c, n) for c, n in want] and want[-1][1] >= 2
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_groups_of_hot_items_are_divided_exactly(artists, size, monkeypatch):
+    monkeypatch.setattr(co, "GROUP_CODES", 40)
+    rnd = random.Random(19)
+    data = [(f"u{u}", a, 1, 1) for u in range(50) for a in {"a00", *rnd.sample([f"a{i:02d}" for i in range(20)], 7)}]
+    assert rows(co.top_combinations(artists(data), size, 60, count_col="n")) == brute_force(data, size, 60)
