@@ -4,7 +4,7 @@ Each dataset's CSV is parsed once, with an explicit schema in PERMISSIVE mode
 plus a corrupt-record column; malformed rows are counted and dropped (exactly
 the rows DROPMALFORMED would drop, but counted correctly and never turning a
 numeric column into text). The good rows go to a Parquet staging table in the
-shared folder, from which the raw backup and the cleaned table are written.
+shared folder, from which the raw backup (gzipped CSV) and the cleaned table are written.
 Row counts for the report come from ``Observation`` metrics collected by the
 writes themselves, so no extra counting jobs re-read the CSV. The clean table is read
 back and compared (rows and content hash) before it takes the place of the old one, so a
@@ -101,7 +101,7 @@ def ingest_dataset(spark: SparkSession, name: str, csv_path: str, parquet_path:
         report["malformed_rows"] = int(raw["malformed"])
         report["original_rows"] = int(raw["rows"]) - int(raw["malformed"])
         good = spark.read.parquet(staging)
-        write_csv(good, backup_path)                         # S4, before cleaning
+        write_csv(good, backup_path, "gzip")                 # S4, before cleaning
 
         clean_obs = Observation(f"clean_{name}")
         cleaned = clean_dataset(good, required)

@@ -134,3 +134,20 @@ def test_suite_writes_exactly_the_fixed_result_tables():
     names = [n for g in GROUPS.values() for n in g()]
     assert sorted(names) == sorted(RESULT_TABLES)
     assert list(suite_results()) == list(RESULT_TABLES)
+
+
+def test_raw_backup_is_compressed_and_reads_back_whole(spark):
+    base = tempfile.mkdtemp(prefix="encore-test-")
+    _write(f"{base}/raw", "user_top_artists.csv", BAD_CSV)
+    ingest.run_loader(spark, f"{base}/raw", f"{base}/pq", f"{base}/bk")
+    folder = f"{base}/bk/user_top_artists_backup"
+    assert all(f.endswith(".csv.gz") for f in os.listdir(folder) if f.startswith("part-"))
+    assert spark.read.option("header", True).csv(folder).count() == 4
+
+
+def test_several_lists_derive_their_plays_once(spark):
+    from encore.plans.catalog import Lists
+    lists = Lists(spark, "/root/testdata/sf0.001")
+    lists.store_plays()
+    for made in (lists.user_top_artists, lists.user_top_tracks, lists.user_top_albums, lists.user_ranked_artists):
+        assert "lineitem" not in "".join(made.inputFiles())
