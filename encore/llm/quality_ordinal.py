@@ -136,9 +136,10 @@ def grade(quality: Column, toxic: Column) -> Column:
     return (quality * (F.lit(2) - F.coalesce(toxic, F.lit(0)))).cast("int")
 
 
-def fit(docs: DataFrame, grades: DataFrame, bits: int = 18, max_rows: int = 8_000,
-        doc_id: str = "doc_id", text: str = "text") -> OrdinalModel:
-    """A model from at most ``max_rows`` rows of ``grades`` (doc_id, grade)."""
+def sample_vectors(docs: DataFrame, grades: DataFrame, bits: int = 18, max_rows: int = 8_000,
+                   doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, grade, places, vals) of at most ``max_rows`` rows of ``grades``. The vectors are
+    bytes (int32 and float32): as arrays the driver would hold an object per number."""
     ids = (grades.where(F.col("grade").isNotNull() & F.col("doc_id").isNotNull())
            .groupBy(F.col("doc_id").alias("_id")).agg(F.min("grade").cast("int").alias("grade"))
            .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
@@ -146,17 +147,24 @@ def fit(docs: DataFrame, grades: DataFrame, bits: int = 18, max_rows: int = 8_00
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             made = [features(t, bits) for t in part["text"]]
-            yield pd.DataFrame({"id": part["id"], "grade": part["grade"], "places": [m[0] for m in made],
-                                "vals": [m[1].astype(np.float32) for m in made]})
+            yield pd.DataFrame({"id": part["id"], "grade": part["grade"],
+                                "places": [m[0].astype(np.int32).tobytes() for m in made],
+                                "vals": [m[1].astype(np.float32).tobytes() for m in made]})
 
     # One row per id, that of the smallest text hash: an id may stand in any number of rows.
-    rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(ids), "_id")
+    return (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(ids), "_id")
             .groupBy("_id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
             .repartition(shuffle_parts(docs.sparkSession))
             .select(F.col("_id").cast("string").alias("id"), "text", "grade")
-            .mapInPandas(vectors, "id string, grade int, places array<int>, vals array<float>").toPandas())
+            .mapInPandas(vectors, "id string, grade int, places binary, vals binary"))
+
+
+def fit(docs: DataFrame, grades: DataFrame, bits: int = 18, max_rows: int = 8_000,
+        doc_id: str = "doc_id", text: str = "text") -> OrdinalModel:
+    """A model from at most ``max_rows`` rows of ``grades`` (doc_id, grade)."""
+    rows = sample_vectors(docs, grades, bits, max_rows, doc_id, text).toPandas()
     rows = rows.sort_values(["id", "grade"], kind="stable")
-    return fit_vectors([(int(g), np.asarray(p, np.int32), np.asarray(v, np.float64))
+    return fit_vectors([(int(g), np.frombuffer(p, np.int32), np.frombuffer(v, np.float32).astype(np.float64))
                         for g, p, v in zip(rows["grade"], rows["places"], rows["vals"], strict=True)], bits)
 
 

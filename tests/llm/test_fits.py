@@ -70,3 +70,15 @@ def test_significance_constant_is_the_most_likely():
     assert all(fit(got) >= fit(got * f) for f in (0.8, 0.95, 1.05, 1.2))
     assert toxicity._significance_constant([], rate) == 0.2
     assert 0 < toxicity._significance_constant([(100, 0.0)], rate) < 0.01
+
+
+def test_quality_vectors_reach_the_driver_as_bytes(spark):
+    import numpy as np
+    from encore.llm import quality_ordinal as qo
+    docs = spark.createDataFrame([(1, "A few words, a FEW words\n#"), (2, None)], "doc_id long, text string")
+    grades = spark.createDataFrame([(1, 2), (2, 0)], "doc_id long, grade int")
+    found = {r["id"]: r for r in qo.sample_vectors(docs, grades).collect()}
+    for doc, text in ((1, "A few words, a FEW words\n#"), (2, None)):
+        places, values = qo.features(text, 18)
+        assert bytes(found[str(doc)]["places"]) == places.astype(np.int32).tobytes()
+        assert bytes(found[str(doc)]["vals"]) == values.astype(np.float32).tobytes()
