@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -305,3 +306,22 @@ def test_groups_of_hot_items_are_divided_exactly(artists, size, monkeypatch):
     rnd = random.Random(19)
     data = [(f"u{u}", a, 1, 1) for u in range(50) for a in {"a00", *rnd.sample([f"a{i:02d}" for i in range(20)], 7)}]
     assert rows(co.top_combinations(artists(data), size, 60, count_col="n")) == brute_force(data, size, 60)
+
+
+def test_average_position_shuffles_are_not_cut_to_the_cores(spark, artists):
+    """The window over users and the sums per (item, user) keep the session's partitions,
+    so their tasks' memory does not grow with what AQE packs into one."""
+    listed = [(f"u{u}", f"a{(u * 7 + k) % 11}", 5 - k, k) for u in range(20) for k in range(3)]
+    listed += [("u1", "a7", 9, 4), (None, "a1", 2, 1), ("u2", None, 2, 5)]
+    out = co.average_position(artists(listed))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    for key in ("_g", "artist_name"):
+        assert re.search(rf"Exchange hashpartitioning\({key}#.*REPARTITION_BY_NUM", plan), key
+    seen = {}
+    for user in {r[0] for r in listed}:
+        mine = sorted((r for r in listed if r[0] == user), key=lambda r: (-r[2], r[1] is not None, r[1] or ""))
+        for place, r in enumerate(mine, 1):
+            seen.setdefault(r[1], []).append((place, user))
+    want = {a: (sum(p for p, _ in v) / len(v), len({u for _, u in v} - {None})) for a, v in seen.items()}
+    got = {r["artist_name"]: (r["avg_position"], r["user_count"]) for r in out.collect()}
+    assert got == {a: (pytest.approx(v[0]), v[1]) for a, v in want.items()}
