@@ -232,13 +232,12 @@ def links(fps: DataFrame, radius: int = 4, blocks: int = 6, shard_size: int = 2_
             .mapInPandas(search, "a long, b long").where("a <> b").distinct())
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(fp, component, label) from ``nodes`` (fp, id) and ``edges`` (a, b): the smallest
-    id reachable, and the fingerprint that stands for the group. NULL ids sort last."""
+def group_labels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(fp, label) of the ``nodes`` (fp, id) that ``edges`` (a, b) link: the smallest
+    (last, id, fp) reachable, ``last`` marking a NULL id."""
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
                   "simhash-edges")
     inside = both.select(F.col("a").alias("fp")).distinct()
-    alone = nodes.join(inside, "fp", "left_anti").select("fp", F.col("id").alias("component"), F.col("fp").alias("label"))
     # A label is the fingerprint that stands for the group: the one of smallest (id, fp).
     order = F.struct(F.col("id").isNull().alias("last"), F.col("id").alias("id"), F.col("fp").alias("fp"))
     labels = stored(nodes.join(inside, "fp", "left_semi").select("fp", order.alias("label")), "simhash-labels")
@@ -270,6 +269,15 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> Data
         drop_stored(labels)
         drop_stored(hooks)
         labels = new
+    return labels
+
+
+def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+    """(fp, component, label) from ``nodes`` (fp, id) and ``edges`` (a, b): the smallest
+    id reachable, and the fingerprint that stands for the group. NULL ids sort last."""
+    labels = group_labels(nodes, edges, max_rounds)
+    alone = (nodes.join(labels.select("fp"), "fp", "left_anti")
+             .select("fp", F.col("id").alias("component"), F.col("fp").alias("label")))
     return alone.unionByName(labels.select("fp", F.col("label.id").alias("component"), F.col("label.fp").alias("label")))
 
 
@@ -296,11 +304,15 @@ def group_decisions(docs: DataFrame, shingle: int = 4, radius: int = 4, blocks:
     rows = stored(prints.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("copies")), "simhash-rows")
     nodes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.sum("copies").alias("copies"))
                    .select("fp", F.col("first.id").alias("id"), "first", "copies"), "simhash-nodes")
-    groups = components(nodes.select("fp", "id"), links(nodes.select("fp"), radius, blocks, shard_size))
-    winners = (groups.join(nodes.select("fp", "first", "copies"), "fp").groupBy("label")
-               .agg(F.min("first").alias("winner"), F.sum("copies").alias("_rows")).where(F.col("_rows") > 1))
-    of = lookup_join(groups.select("fp", "label"), winners, ["label"], "_rows").where(F.col("winner").isNotNull())
-    of = stored(of.join(nodes.select("fp", "copies"), "fp").select("fp", "winner", "copies"), "simhash-winners")
+    labels = group_labels(nodes.select("fp", "id"), links(nodes.select("fp"), radius, blocks, shard_size))
+    # A fingerprint without links is a group by itself; of the linked ones each row is joined once.
+    alone = (nodes.where(F.col("copies") > 1).join(labels.select("fp"), "fp", "left_anti")
+             .select("fp", F.col("first").alias("winner"), "copies"))
+    members = stored(labels.select("fp", F.col("label.fp").alias("label")).join(nodes.select("fp", "first", "copies"), "fp"),
+                     "simhash-members")
+    winners = members.groupBy("label").agg(F.min("first").alias("winner"), F.count(F.lit(1)).alias("_members"))
+    linked = lookup_join(members.select("fp", "label", "copies"), winners, ["label"], "_members")
+    of = stored(alone.unionByName(linked.select("fp", "winner", "copies")), "simhash-winners")
     return lookup_join(rows, of.withColumnRenamed("copies", "_n"), ["fp"], "_n").where(F.col("winner").isNotNull()).select(
         F.col("doc_id.id").alias("doc_id"), F.col("doc_id.hash").alias("hash"), "copies",
         (F.col("doc_id") == F.col("winner")).alias("stays"))

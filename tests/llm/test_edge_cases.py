@@ -185,3 +185,19 @@ def test_distrust_flows_against_links_and_trust_along(spark, rounds):
          (6, "http://far.com/", "<a href='http://friend.com/'>")], "page_id long, url string, html string")
     verdict = {r["page_id"]: r["verdict"] for r in url_graph.url_filter(pages, rounds=rounds).collect()}
     assert verdict == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block"}
+
+
+def test_group_decisions_join_each_linked_row_once(spark, monkeypatch):
+    """Fingerprints without links meet no lookup: the winners' plan stays small."""
+    plans, store = {}, simhash.stored
+
+    def seen(df, tag):
+        plans[tag] = df._jdf.queryExecution().sparkPlan().toString()
+        return store(df, tag)
+
+    monkeypatch.setattr(simhash, "stored", seen)
+    texts = ["a b c d e f g h", "a b c d e f g h", "one two three four five", "a b c d e f g h", ""]
+    docs = spark.createDataFrame([(None if k == 3 else k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r["doc_id"], r["copies"], r["stays"]) for r in simhash.group_decisions(docs).collect()}
+    assert got == {(0, 1, True), (1, 1, False), (None, 1, False)}
+    assert plans["simhash-winners"].count("Join") <= 4
