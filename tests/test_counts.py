@@ -102,3 +102,24 @@ def test_equal_signatures_are_settled_by_names(spark, tracks, monkeypatch):
     monkeypatch.setattr(counts, "list_signature", lambda *c: F.struct(F.lit(1).alias("a"), F.lit(2).alias("b")))
     assert rows(counts.identical_top_lists(tracks(data))) == plain
     assert plain == [("a", "b", "d", 3), (None, "q", None, 2), ("a", "b", "c", 2)]
+
+
+def test_rows_that_stand_once_are_counted_without_a_shuffle_of_pairs(spark):
+    """Distinct (user, item) rows: the same results, with one exchange by the group alone."""
+    from pyspark.sql import functions as F
+
+    from encore.operators import compare, cooccur, counts, popularity
+
+    pairs = spark.createDataFrame(list({(f"u{k % 7}" if k % 9 else None, f"a{k % 5}" if k % 11 else None)
+                                        for k in range(60)}), "user_id string, artist_name string")
+    tracks = pairs.withColumn("track_name", F.col("user_id"))
+    firsts = pairs.groupBy("user_id").agg(F.min("artist_name").alias("artist_name"))
+    made = [lambda **kw: popularity.top_artists(pairs, **kw), lambda **kw: counts.artists_per_user(pairs, **kw)[0],
+            lambda **kw: counts.artists_per_user(pairs, **kw)[1],
+            lambda **kw: compare.artist_diversity(pairs, tracks, **kw),
+            lambda **kw: cooccur.top1_in_global_top(pairs, firsts=firsts, **kw)]
+    for make in made:
+        plain, once = make(), make(once=True)
+        assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect()))
+        steps = [df._jdf.queryExecution().executedPlan().toString().count("Exchange") for df in (plain, once)]
+        assert steps[1] < steps[0], steps
