@@ -85,13 +85,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mix of what is left, ordered by training position, with the texts.
 
     The plan is made from narrow rows; the texts meet it by their place in a written
-    table, since ids may be NULL or repeated.
+    table, since ids may be NULL or repeated. Only the columns that the mix returns or
+    plans by are written, as plain columns: a nested row costs its readers more memory.
     """
-    held = stored(docs.select(_row(docs)), "mix-docs").select(
-        "row", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("line"))
-    plan = _mixing.curriculum_plan(held.select("row.doc_id", "row.text", "row.source", "file", "line"),
-                                   keep=("file", "line"))
-    texts = held.select(F.col("row.text").alias("text"), "file", "line")
+    held = stored(docs.select("doc_id", "text", "source"), "mix-docs").select(
+        "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("line"))
+    plan = _mixing.curriculum_plan(held, keep=("file", "line"))
+    texts = held.select("text", "file", "line")
     whole = plan.withColumns({"file": F.col("kept.file"), "line": F.col("kept.line")}).drop("kept")
     return _mixing.training_order(whole.join(texts, ["file", "line"]).drop("file", "line"))
 
