@@ -236,8 +236,19 @@ def license_scan(files: DataFrame, path: Column | str = "path", text: str = "tex
                       F.coalesce("cosine", "_cosine").alias("cosine"), origin.alias("origin"))
 
 
+def source_path(source: Column) -> Column:
+    """A source as a path: of a URL its host, in lower case, and its path."""
+    url = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)"
+    host, rest = (F.regexp_extract(source, url, k) for k in (1, 2))
+    return F.when(F.rlike(source, F.lit(url)), F.concat(F.lower(host), rest)).otherwise(source)
+
+
 def license_query(docs: DataFrame) -> DataFrame:
-    """Documents as files ``source/lang/doc_id``."""
-    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")),
+    """Documents as files ``source/lang/doc_id``. Where the source itself is the path or URL
+    of a licence file in some folder, the document is that file: documents whose sources
+    lie at or below the folder inherit from it."""
+    source = source_path(F.col("source"))
+    named = F.rlike(F.regexp_extract(source, "[^/]/+([^/]*)$", 1), F.lit(FILE_NAME))
+    path = F.concat_ws("/", F.coalesce(source, F.lit("")), F.coalesce("lang", F.lit("")),
                        F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return license_scan(docs, path, keep=("doc_id",))
+    return license_scan(docs, F.when(named, source).otherwise(path), keep=("doc_id",))
