@@ -325,3 +325,46 @@ def test_average_position_shuffles_are_not_cut_to_the_cores(spark, artists):
     want = {a: (sum(p for p, _ in v) / len(v), len({u for _, u in v} - {None})) for a, v in seen.items()}
     got = {r["artist_name"]: (r["avg_position"], r["user_count"]) for r in out.collect()}
     assert got == {a: (pytest.approx(v[0]), v[1]) for a, v in want.items()}
+
+
+@pytest.mark.parametrize("size", [2, 3])
+@pytest.mark.parametrize("shared", [0, 3, 12])
+def test_beside_a_giant_flat_popularity_needs_no_enumeration(artists, size, shared):
+    """Hardly any combination has two ordinary users, so the bound is low; the NULL user has
+    3000 items. The result is filled with combinations of the giant and one user, by name, and
+    with those of one user where these are too few."""
+    rnd = random.Random(23)
+    pool = [f"a{i:04d}" for i in range(3000)]
+    held = [rnd.sample(pool, 5) for _ in range(8)]
+    held += [held[0][:3], [f"z{i}" for i in range(9)]]           # a repeated combination; none of the giant's
+    names = pool[1:] if shared == 12 else sorted(rnd.sample(pool, 2990 + shared) + [f"y{i}" for i in range(10)])
+    data = [(f"u{u}", a, 1, r + 1) for u, items in enumerate(held) for r, a in enumerate(items)]
+    data += [(None, a, 1, 1) for a in names]
+    counts = Counter(c for items in held for c in itertools.combinations(sorted(items), size))
+    ours = set(names)
+    counts = Counter({c: n + ours.issuperset(c) for c, n in counts.items()})
+    # The giant's own first combinations by name.
+    counts.update({c: 1 for c in itertools.islice(itertools.combinations(sorted(names), size), 500) if c not in counts})
+    for top in (1, 40, 250):
+        want = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:top]
+        assert rows(co.top_combinations(artists(data), size, top, count_col="n")) == [(*c, n) for c, n in want]
+
+
+@pytest.mark.parametrize("size", [2, 3])
+def test_first_combos_are_those_first_by_number(spark, size):
+    rnd = random.Random(29)
+    sets = {u: sorted(rnd.sample(range(400), n)) for u, n in enumerate([1, 2, 3, 4, 5, 9, 30, 200])}
+    df = spark.createDataFrame([(u, i) for u, items in sets.items() for i in items], "u int, _id int")
+    for most in (1, 7, 40):
+        want = sorted(c for items in sets.values()
+                      for c in itertools.islice(itertools.combinations(items, size), most))
+        assert sorted(rows(co._first_combos(df, size, "u", most))) == want
+
+
+def test_item_numbers_follow_the_names(artists):
+    rnd = random.Random(31)
+    names = sorted({"", "a", "B", "Zoë", "Zoe", *(f"n{rnd.randrange(10 ** 6)}" for _ in range(300))})
+    data = [(f"u{u}", a, 1, 1) for u, a in enumerate(names)] + [("v", "a", 1, 1)]
+    ids = co.item_ids(artists(data).select("user_id", "artist_name"), "artist_name")
+    got = {r["artist_name"]: (r["_id"], r["_deg"]) for r in ids.collect()}
+    assert got == {a: (i, 2 if a == "a" else 1) for i, a in enumerate(names)}
