@@ -368,3 +368,21 @@ def test_item_numbers_follow_the_names(artists):
     ids = co.item_ids(artists(data).select("user_id", "artist_name"), "artist_name")
     got = {r["artist_name"]: (r["_id"], r["_deg"]) for r in ids.collect()}
     assert got == {a: (i, 2 if a == "a" else 1) for i, a in enumerate(names)}
+
+
+def test_codes_of_pairs_are_sorted_once_and_compared_without_lambdas(artists):
+    """A lambda is interpreted value by value, and twice where Spark tests an array's size
+    before it explodes it."""
+    df = artists([(f"u{u}", f"a{(u * k) % 9}", 1, k) for u in range(9) for k in range(6)])
+    tails = co._tails(co._item_sets(df.selectExpr("user_id", "cast(substr(artist_name, 2) as int) as _id").distinct(),
+                                    2, "user_id"), 2)
+    for least in (1, 3):
+        plan = co._count_tails(tails, 2, least, {})._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"sort_array\(flatten", plan)) == 1 and "lambda" not in plan, plan
+
+
+def test_average_position_shuffles_by_user_once(artists):
+    """Equal rows of a user are collapsed in the window's own shuffle."""
+    df = artists([("u1", "A", 1, 1), ("u2", "B", 1, 1)])
+    plan = co.average_position(df)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(user_id#\d+, playcount", plan)

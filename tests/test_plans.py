@@ -7,6 +7,7 @@ import re
 from encore.operators import cooccur as co
 from encore.operators import counts as cnt
 from encore.operators import popularity as pop
+from tests.conftest import rows
 
 
 def _plan(df) -> str:
@@ -103,3 +104,48 @@ def test_suite_makes_each_shared_result_once(spark, artists, tracks, albums, tmp
     assert sorted(made) == sorted(real)
     shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
     assert not [f for f in os.listdir(shared) if f.startswith("suite-artist")]
+
+
+def test_suite_lists_come_from_one_shuffle_of_the_plays(spark):
+    """The three lists as the fixtures make them one by one, users above the limit too."""
+    from encore.sources import fixtures as fx
+
+    plays = spark.createDataFrame(
+        [(None if u == 3 else u, f"a{(u * k) % 5}", f"t{k % 7}", f"b{k % 3}", float(1 + k % 4))
+         for u in range(6) for k in range(4 + 9 * (u == 2))],
+        "user_id long, artist_name string, track_name string, album_name string, qty double")
+    want = {"artists": fx.user_ranked_artists(None, plays), "tracks": fx.user_top_tracks(None, plays),
+            "albums": fx.user_top_albums(None, plays)}
+    for limit in (1 << 20, 5):
+        made = fx.user_lists(plays, limit)
+        for name, columns in fx.LISTS.items():
+            got = made.where(made["list"] == name).select(*columns)
+            assert got.dtypes == want[name].select(*columns).dtypes
+            assert sorted(got.collect(), key=repr) == sorted(want[name].select(*columns).collect(), key=repr)
+    made = fx.user_lists(plays)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    lines = [x for x in plan.splitlines() if "hashpartitioning(_g" in x and "REPARTITION_BY_NUM" in x]
+    assert sum("ReusedExchange" not in x for x in lines) == 1 and len(lines) >= 3
+
+
+def test_shared_results_of_the_suite_stand_in_for_the_lists(artists, tracks):
+    from encore.operators import compare, cooccur, counts, popularity, quality
+
+    t = tracks([(u, n, a, p) for u in ("u1", "u2", "u3", None) for n, a, p in (
+        ("s1", "X", 9), ("s2", "X", 8), ("s3", "Y" if u == "u3" else "X", 8), (None, "X", 2), ("s4", "X", None), ("s5", None, 1))]
+        + [("u4", "s1", "X", 1), ("u5", None, None, 3)])
+    a = artists([("u1", "X", 5, 1), ("u1", "Y", 4, 2), ("u2", "X", 1, 1), ("u3", None, 2, 1), ("u4", "Y", 2, 1), (None, "X", 2, 1)])
+    firsts = counts.first_rows(t, 10)
+    for k in (1, 3, 5):
+        assert (sorted(rows(counts.single_artist_top_k(t, k, firsts=firsts)), key=repr)
+                == sorted(rows(counts.single_artist_top_k(t, k)), key=repr))
+        assert rows(counts.identical_top_lists(t, k, firsts=firsts)) == rows(counts.identical_top_lists(t, k))
+    assert rows(cooccur.artist_track_overlap(a, t, first_tracks=firsts)) == rows(cooccur.artist_track_overlap(a, t))
+    assert rows(cooccur.artist_pairs(a.select("user_id", "artist_name"), once=True)) == rows(cooccur.artist_pairs(a))
+    per_item = popularity.users_per_item(a, "artist_name")
+    per_user = counts.artists_per_user(a)[0]
+    assert rows(popularity.top_artists(per_user, per_item=per_item)) == rows(popularity.top_artists(a))
+    assert rows(compare.artist_diversity(a, t, users=per_item)) == rows(compare.artist_diversity(a, t))
+    assert (rows(compare.active_user_artists(a, t, 3, per_artist_user=quality.row_counts(a)))
+            == rows(compare.active_user_artists(a, t, 3)) != [])
